@@ -8,7 +8,7 @@ from math import log
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.operators.aggregates import median_by, number_or_null
@@ -203,3 +203,24 @@ def score(df: DataFrame, model: TreeModel, features: Sequence[str], name: str) -
 def treat_flag(probability: Column, threshold: float) -> Column:
     """1 when the probability is strictly above the threshold, else 0."""
     return F.when(probability > F.lit(threshold), 1).otherwise(0)
+
+
+def label_table(spark: SparkSession, fitted: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Fitted labels as a table (feature, label, code), the form in which they are kept."""
+    rows = [
+        (feature, label, code)
+        for feature, known in fitted.items()
+        for code, label in enumerate(known)
+    ]
+    return spark.createDataFrame(rows, "feature string, label string, code int")
+
+
+def labels_from_table(df: DataFrame) -> dict[str, list[str]]:
+    """The inverse of ``label_table``; the size of the table is checked first."""
+    rows = df.select("feature", "label", "code").limit(MAX_MODEL_NODES + 1).collect()
+    if len(rows) > MAX_MODEL_NODES:
+        raise ValueError("label table is too large")
+    out: dict[str, list[str]] = {}
+    for feature, label, _ in sorted(rows, key=lambda row: (row.feature, row.code)):
+        out.setdefault(feature, []).append(label)
+    return out

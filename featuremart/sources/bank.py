@@ -103,6 +103,11 @@ class Bank:
             PARAMS.cutoff,
         )
 
+    @cached_property
+    def staged_demographic(self) -> DataFrame:
+        """Written, as numbering the dataset reads it twice."""
+        return stage(self.demographic, "demographic")
+
     @cached_property
     def portfolio(self) -> DataFrame:
         return portfolio_features(self.staged_pool, self.saving)
@@ -119,7 +124,7 @@ class Bank:
     def dataset(self) -> DataFrame:
         return inference_dataset(
             self.staged_pool,
-            stage(self.demographic, "demographic"),
+            self.staged_demographic,
             self.portfolio,
             self.income,
             self.ratios,
