@@ -116,6 +116,15 @@ MATRIX = ",\n".join(
     for currency in ("idr", "nonidr")
 )
 
+MATRIX_AS_DOUBLES = ", ".join(
+    f"saving_{short}_{state}_{currency}_count, "
+    f"CAST(saving_{short}_{state}_{currency}_sum AS DOUBLE) "
+    f"AS saving_{short}_{state}_{currency}_sum"
+    for short in ("tab", "giro", "dep")
+    for state in ("aktif", "nonaktif")
+    for currency in ("idr", "nonidr")
+)
+
 
 def tree_case(model: TreeModel) -> str:
     """Probability of class 1 of a node table."""

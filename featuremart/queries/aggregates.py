@@ -11,6 +11,7 @@ from featuremart.operators.aggregates import (
 )
 from featuremart.operators.aggregates import measure_matrix as matrix_of
 from featuremart.operators.windows import batch_of
+from featuremart.oracles.parts import MATRIX_AS_DOUBLES
 from featuremart.plans.balances import balance_accounts
 from featuremart.plans.customer_pool import account_summary
 from featuremart.plans.customer_pool import first_open_date as first_day
@@ -22,12 +23,6 @@ from featuremart.queries.registry import query, stamped
 from featuremart.sources.bank_views import PARAMS
 
 
-MEASURE_COLUMNS = ", ".join(
-    name if name.endswith("_count") else f"CAST({name} AS DOUBLE) AS {name}"
-    for name in (measure.name for measure in balance_measures())
-)
-
-
 def doubles(df):
     """Decimal columns as doubles."""
     return df.select(
@@ -132,7 +127,7 @@ def median_by_batch(bank):
 
 
 @query(f"""
-    SELECT user_id, {MEASURE_COLUMNS} FROM matrix
+    SELECT user_id, {MATRIX_AS_DOUBLES} FROM matrix
 """)
 def measure_matrix(bank):
     return doubles(
