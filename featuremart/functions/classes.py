@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from featuremart.functions.cleansing import as_int, upper_trimmed
+from featuremart.functions.cleansing import as_int, cleansed
 
 # ---- Fixed values: they decide results and feed the trained encoders, so they are kept
 # ---- letter for letter.
@@ -146,14 +146,23 @@ def any_of(conditions: Sequence[Column]) -> Column:
 
 def income_remark(remark: Column, code: Column) -> Column:
     """Remark names an income, or the code does."""
-    folded = upper_trimmed(remark)
-    return any_of([folded.contains(word) for word in INCOME_WORDS]) | code.isin(*INCOME_CODES)
+    folded = F.upper(remark)
+    return any_of([folded.contains(word) for word in INCOME_WORDS]) | F.trim(code).isin(
+        *INCOME_CODES
+    )
 
 
 def not_income_remark(remark: Column) -> Column:
     """Shop cash-backs (any case) and three exact wordings that only look like an income."""
-    folded = upper_trimmed(remark)
+    folded = F.upper(remark)
     return any_of(
         [folded.contains(word) for word in SHOP_WORDS]
         + [remark.contains(wording) for wording in NOT_INCOME_REMARKS]
     )
+
+
+def income_entry(remark: Column, code: Column) -> Column:
+    """Ledger entry that counts as income. Without a remark there is none, whatever the code."""
+    return (
+        income_remark(remark, code) & ~not_income_remark(remark) & cleansed(remark).isNotNull()
+    )

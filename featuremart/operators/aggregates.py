@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from itertools import product as cross_product
+from itertools import product as combinations_of
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,77 +36,102 @@ def null_safe_total(columns: Iterable[str]) -> Column:
     return total
 
 
-@dataclass(frozen=True)
-class Measure:
-    """One cell of the measure matrix: a condition, and what is taken where it holds."""
+def count_distinct_if(
+    df: DataFrame, key: str, account: str, conditions: Mapping[str, Column]
+) -> DataFrame:
+    """Per key and condition, the number of distinct accounts that meet the condition.
+
+    Grouping by (key, account) first makes each count a plain sum of flags. One conditional
+    distinct count per condition would make Spark copy every row once per condition.
+    """
+    accounts = df.groupBy(key, account).agg(
+        *[any_flag(condition).alias(name) for name, condition in conditions.items()]
+    )
+    known = F.col(account).isNotNull()
+    return accounts.groupBy(key).agg(
+        *[F.count_if(known & (F.col(name) == 1)).alias(name) for name in conditions]
+    )
+
 
-    name: str
-    condition: Column
-    amount: str | None = None  # column to sum; None counts distinct accounts
+@dataclass(frozen=True)
+class Cell:
+    """One cell of the measure matrix: rows of one product, state and currency."""
+
+    family: str  # product family
+    short: str  # its part of the measure name
+    flag: str  # account flag the family needs
+    balance: str  # column to sum
+    active: bool
+    local: bool  # in IDR
+
+    @property
+    def name(self) -> str:
+        state = "aktif" if self.active else "nonaktif"
+        return f"saving_{self.short}_{state}_{'idr' if self.local else 'nonidr'}"
+
+    def holds(self) -> Column:
+        status, currency = F.col("status"), F.col("curr_type")
+        return (
+            (F.col("flag") == self.flag)
+            & (F.col("keterangan") == self.family)
+            & (status == ACTIVE if self.active else status != ACTIVE)
+            & (currency == "IDR" if self.local else currency != "IDR")
+        )
 
 
-# Product family, name part, account flag and balance column.
+# Product family, name part, account flag and balance column.
 FAMILIES = (
     ("TABUNGAN", "tab", "NON_DEPO", "credit_balance"),
     ("GIRO", "giro", "NON_DEPO", "credit_balance"),
     ("DEPOSITO", "dep", "DEPO", "deposit_balance"),
 )
 
+CELLS = tuple(
+    Cell(*family, active, local)
+    for family, active, local in combinations_of(FAMILIES, (True, False), (True, False))
+)
+# Savings and current accounts.
+CASA_CELLS = tuple(cell for cell in CELLS if cell.short != "dep")
 
-def balance_measures(families: Sequence[tuple] = FAMILIES) -> list[Measure]:
-    """{product} x {active or not} x {IDR or not} x {account count, balance sum}."""
-    states = (("aktif", F.col("status") == ACTIVE), ("nonaktif", F.col("status") != ACTIVE))
-    currencies = (("idr", F.col("curr_type") == "IDR"), ("nonidr", F.col("curr_type") != "IDR"))
-    out = []
-    for (family, short, flag, balance), (state, is_state), (currency, is_currency) in (
-        cross_product(families, states, currencies)
-    ):
-        condition = (
-            (F.col("flag") == flag) & (F.col("keterangan") == family) & is_state & is_currency
-        )
-        name = f"saving_{short}_{state}_{currency}"
-        out.append(Measure(f"{name}_count", condition))
-        out.append(Measure(f"{name}_sum", condition, balance))
-    return out
 
+def active_cells(cells: Sequence[Cell]) -> tuple[Cell, ...]:
+    return tuple(cell for cell in cells if cell.active)
 
-def active_names(kind: str, families: Sequence[tuple] = FAMILIES) -> list[str]:
-    """Names of the active measures of one kind, over the families and both currencies."""
-    return [
-        f"saving_{short}_aktif_{currency}_{kind}"
-        for (_, short, _, _), currency in cross_product(families, ("idr", "nonidr"))
-    ]
+
+def _cell_columns(cells: Sequence[Cell]) -> tuple[Column, Column]:
+    """Number of the cell a row is in (a row is in one at most), and the amount it adds."""
+    number, amount = F, F
+    for i, cell in enumerate(cells):
+        number = number.when(cell.holds(), F.lit(i))
+        amount = amount.when(F.col("_cell") == i, F.col(cell.balance))
+    return number, amount
 
 
 def measure_matrix(
-    df: DataFrame, key: str, account: str, measures: Sequence[Measure]
+    df: DataFrame, key: str, account: str, cells: Sequence[Cell] = CELLS
 ) -> DataFrame:
-    """All measures per ``key`` in one pass over ``df``.
+    """Distinct accounts and balance of every cell per ``key``, in one pass over ``df``.
 
-    Distinct counts all count the same column. Grouping by (key, account) first makes each a
-    plain sum of flags, where one conditional distinct count per measure would make Spark
-    copy every row once per measure. Both steps combine rows before they shuffle, and the first spreads
-    the accounts of a large key over many tasks. A row without account takes part in the sums
-    only. Without counts one grouping is enough.
+    As a row is in one cell at most, it travels as (key, account, cell, amount) whatever the
+    number of measures. Grouping by all of these first turns the distinct counts into plain
+    ones and spreads the accounts of a large key over many tasks; both groupings combine rows
+    before they shuffle. A row without account takes part in the sums only, a row in no cell
+    just keeps its key in the result.
     """
-    counts = [m for m in measures if m.amount is None]
-    sums = [m for m in measures if m.amount is not None]
-    if not counts:
-        return df.groupBy(key).agg(
-            *[sum_or_null(m.condition, F.col(m.amount)).alias(m.name) for m in sums]
-        )
-    per_account = df.groupBy(key, account).agg(
-        *[any_flag(m.condition).alias(m.name) for m in counts],
-        *[sum_or_null(m.condition, F.col(m.amount)).alias(m.name) for m in sums],
-    )
-    has_account = F.col(account).isNotNull()
-    return per_account.groupBy(key).agg(
-        *[
-            F.sum(F.when(has_account, F.col(m.name)).otherwise(0)).alias(m.name)
-            for m in counts
-        ],
-        *[F.sum(m.name).alias(m.name) for m in sums],
+    number, amount = _cell_columns(cells)
+    in_cells = df.withColumn("_cell", number).select(
+        key, F.when(F.col("_cell").isNotNull(), F.col(account)).alias("_account"), "_cell",
+        amount.alias("_amount"),
     )
+    accounts = in_cells.groupBy(key, "_account", "_cell").agg(F.sum("_amount").alias("_amount"))
+    measures = []
+    for i, cell in enumerate(cells):
+        here = F.col("_cell") == i
+        measures += [
+            F.count_if(here & F.col("_account").isNotNull()).alias(f"{cell.name}_count"),
+            sum_or_null(here, F.col("_amount")).alias(f"{cell.name}_sum"),
+        ]
+    return accounts.groupBy(key).agg(*measures)
 
 
 def number_or_null(value: Column) -> Column:

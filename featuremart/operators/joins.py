@@ -14,6 +14,15 @@ MAX_HOT_KEYS = 1000
 ROWS_PER_TASK = 2_000_000
 MAX_SALTS = 4096
 SAMPLE_EVERY = 64
+# Inputs below this size cannot hold a key that would keep one task busy for long.
+SKEW_MIN_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of all tables ``df`` reads, from Spark's own table statistics; runs no job."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
+    return sum(int(str(size)) for size in sizes)
 
 
 def hot_keys(
@@ -22,12 +31,15 @@ def hot_keys(
     spread: Sequence[str],
     rows_per_task: int = ROWS_PER_TASK,
     sample_every: int = SAMPLE_EVERY,
+    min_bytes: int = SKEW_MIN_BYTES,
 ) -> dict[Any, int]:
     """Keys with more rows than one task should take, and the pieces each is to be cut into.
 
-    Counted on the rows whose content hashes into one of ``sample_every`` classes. The choice
-    affects the speed of a join only, never its result.
+    Counted on the rows whose content hashes into one of ``sample_every`` classes, unless all
+    inputs together are small. The choice affects the speed of a join only, never its result.
     """
+    if input_bytes(df) < min_bytes:
+        return {}
     rows = df.filter(F.col(key).isNotNull())
     if sample_every > 1:
         rows = rows.filter(F.pmod(F.xxhash64(key, *spread), F.lit(sample_every)) == 0)
@@ -92,14 +104,3 @@ def skew_join(
         joined = joined.filter(F.col("_matched") | (_salts_of(F.col(on), hot) == 1))
     return joined.drop("_piece", "_matched")
 
-
-SMALL_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it has at most ``max_rows`` rows.
-
-    Counting stops one row past the limit. A larger table is returned as it is, and Spark
-    joins it by shuffling.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from featuremart.functions.classes import ACTIVE, LOAN_TYPES, eligible_saving, region_class
 from featuremart.functions.cleansing import as_int, cleanse_table
 from featuremart.functions.dates import before
-from featuremart.operators.joins import broadcast_if_small
 from featuremart.operators.windows import keep_first
 
 
@@ -55,10 +54,14 @@ def demographic_features(
     cutoff: str,
     exclude_regions: Sequence[str] = (),
 ) -> DataFrame:
-    """Features per pool row; ``pool``, ``saving`` and ``loan`` hold one snapshot each."""
+    """Features per pool row; ``pool``, ``saving`` and ``loan`` hold one snapshot each.
+
+    The branch table carries no broadcast hint: Spark broadcasts it while it is below the
+    size limit of the session and shuffles it (splitting a large branch) beyond.
+    """
     regions = (
         first_accounts(saving, cutoff)
-        .join(broadcast_if_small(branch_regions(branch, exclude_regions)), "branch")
+        .join(branch_regions(branch, exclude_regions), "branch")
         .select("user_id", F.col("open_date").alias("open_date_saving"), "region")
     )
     return (

@@ -2,38 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.functions.cleansing import cleanse_table
 from featuremart.operators.aggregates import (
-    FAMILIES,
-    active_names,
-    balance_measures,
+    CASA_CELLS,
+    Cell,
+    active_cells,
     measure_matrix,
     null_safe_total,
 )
 from featuremart.plans.balances import balance_accounts
 
-CASA = FAMILIES[:2]  # savings and current accounts
-
 
-def portfolio_rollup(saving: DataFrame) -> DataFrame:
-    """All measures over savings and current accounts per user, and the two active totals."""
-    matrix = measure_matrix(
-        balance_accounts(saving), "user_id", "acct_num", balance_measures(CASA)
-    )
-    return matrix.withColumns(
+def portfolio_rollup(saving: DataFrame, cells: Sequence[Cell] = CASA_CELLS) -> DataFrame:
+    """The measures of all cells per user, and count and balance over the active cells."""
+    active = [cell.name for cell in active_cells(cells)]
+    return measure_matrix(balance_accounts(saving), "user_id", "acct_num", cells).withColumns(
         {
-            "saving_casa_aktif_count_na": null_safe_total(active_names("count", CASA)),
-            "saving_casa_aktif_sum_na": null_safe_total(active_names("sum", CASA)),
+            "saving_casa_aktif_count_na": null_safe_total(f"{name}_count" for name in active),
+            "saving_casa_aktif_sum_na": null_safe_total(f"{name}_sum" for name in active),
         }
     )
 
 
 def portfolio_features(pool: DataFrame, saving: DataFrame) -> DataFrame:
     """Features per pool row; NULL for a user without accounts."""
-    totals = portfolio_rollup(saving).select(
+    totals = portfolio_rollup(saving, active_cells(CASA_CELLS)).select(
         "user_id",
         "saving_casa_aktif_count_na",
         F.col("saving_casa_aktif_sum_na").cast("double").alias("saving_casa_aktif_sum_na"),

@@ -2,33 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.functions.cleansing import as_money, cleanse_table
 from featuremart.operators.aggregates import (
-    FAMILIES,
-    active_names,
-    balance_measures,
-    measure_matrix,
-    null_safe_total,
+    CASA_CELLS,
+    CELLS,
+    Cell,
+    active_cells,
     sum_or_zero,
 )
 from featuremart.operators.joins import hot_keys, skew_join
 from featuremart.operators.snapshots import ledger_range
 from featuremart.plans.balances import balance_accounts
-from featuremart.plans.portfolio import CASA
 
 WINDOW_DAYS = 30
 
 
 def balance_totals(accounts: DataFrame) -> DataFrame:
     """Active balance per user, without and with deposits."""
-    sums = [m for m in balance_measures(FAMILIES) if m.amount is not None]
-    return measure_matrix(accounts, "user_id", "acct_num", sums).select(
-        "user_id",
-        null_safe_total(active_names("sum", CASA)).alias("casa_sum"),
-        null_safe_total(active_names("sum", FAMILIES)).alias("casatd_sum"),
+
+    def balance(cells: Sequence[Cell]) -> Column:
+        held = F
+        for cell in active_cells(cells):
+            held = held.when(cell.holds(), F.col(cell.balance))
+        return F.sum(held.otherwise(F.lit(0)))
+
+    return accounts.groupBy("user_id").agg(
+        balance(CASA_CELLS).alias("casa_sum"), balance(CELLS).alias("casatd_sum")
     )
 
 
@@ -54,8 +58,10 @@ def flow_measures() -> list[Column]:
 
 
 def flows_by_account(ledger: DataFrame, start: str, end: str) -> DataFrame:
-    """The flow measures per account, grouped before any join."""
-    return ledger_entries(ledger, start, end).groupBy("acct_num").agg(*flow_measures())
+    """The flow measures of accounts with a credit or a debit, grouped before any join."""
+    moved = F.trim("tr_type").isin("C", "D")
+    entries = ledger_entries(ledger.filter(moved), start, end)
+    return entries.groupBy("acct_num").agg(*flow_measures())
 
 
 def flows_by_user(

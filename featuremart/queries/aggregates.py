@@ -3,8 +3,7 @@
 from pyspark.sql import functions as F
 
 from featuremart.operators.aggregates import (
-    Measure,
-    balance_measures,
+    count_distinct_if,
     median_by,
     sum_or_null,
     sum_or_zero,
@@ -60,12 +59,12 @@ def any_active(bank):
 """)
 def cond_count_distinct(bank):
     status, currency = F.col("status"), F.col("curr_type")
-    return matrix_of(
+    return count_distinct_if(
         balance_accounts(bank.saving), "user_id", "acct_num",
-        [
-            Measure("aktif_idr_count", (status == 1) & (currency == "IDR")),
-            Measure("nonaktif_nonidr_count", (status != 1) & (currency != "IDR")),
-        ],
+        {
+            "aktif_idr_count": (status == 1) & (currency == "IDR"),
+            "nonaktif_nonidr_count": (status != 1) & (currency != "IDR"),
+        },
     )
 
 
@@ -130,9 +129,7 @@ def median_by_batch(bank):
     SELECT user_id, {MATRIX_AS_DOUBLES} FROM matrix
 """)
 def measure_matrix(bank):
-    return doubles(
-        matrix_of(balance_accounts(bank.saving), "user_id", "acct_num", balance_measures())
-    )
+    return doubles(matrix_of(balance_accounts(bank.saving), "user_id", "acct_num"))
 
 
 @query("""

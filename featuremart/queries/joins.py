@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from featuremart.functions.cleansing import cleanse_table
-from featuremart.operators.joins import broadcast_if_small, hot_keys, skew_join
+from featuremart.operators.joins import hot_keys, skew_join
 from featuremart.plans.balances import balance_accounts
 from featuremart.plans.card_master import card_owners
 from featuremart.plans.customer_pool import first_open_date
@@ -83,7 +83,7 @@ def join_composite(bank):
     JOIN branch_class b ON s.branch = b.branch
 """)
 def join_dimension(bank):
-    regions = broadcast_if_small(branch_regions(bank.view("v_branch")))
+    regions = branch_regions(bank.view("v_branch"))
     accounts = cleanse_table(bank.saving).select("acct_num", "branch")
     return accounts.join(regions, "branch").select("acct_num", "branch", "region")
 
@@ -117,7 +117,7 @@ def join_cast_key(bank):
            count(CASE WHEN t.tr_type = 'C' THEN 1 END) AS credit_count,
            count(CASE WHEN t.tr_type = 'D' THEN 1 END) AS debit_count
     FROM balances b JOIN trx_clean t ON b.acct_num = t.tr_acc
-    WHERE t.trx_day BETWEEN '20001217' AND '20010615'
+    WHERE t.trx_day BETWEEN '20001217' AND '20010615' AND t.tr_type IN ('C', 'D')
     GROUP BY b.user_id, b.acct_num
 """)
 def join_ledger(bank):

@@ -36,12 +36,18 @@ class Bank:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._tables: dict[str, DataFrame] = {}
+        self._views: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return bank_views.table(self.spark, self.sf_dir, name)
+        if name not in self._tables:
+            self._tables[name] = bank_views.table(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     def view(self, name: str) -> DataFrame:
-        return bank_views.view(self.spark, self.sf_dir, name)
+        if name not in self._views:
+            self._views[name] = bank_views.view(self.spark, name, self.table)
+        return self._views[name]
 
     def latest(self, name: str) -> DataFrame:
         rows = self.view(name)

@@ -7,6 +7,7 @@ Values carry padding, mixed case, blanks and NULLs on purpose. The clock stands
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -133,12 +134,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the bank tables."""
+def view(spark: SparkSession, name: str, table_of: Callable[[str], DataFrame]) -> DataFrame:
+    """One of the bank tables, over the test tables that ``table_of`` gives."""
     text = VIEWS[name]
-    tables = {}
     for base in TABLES_OF[name]:
         for keyword in ("FROM", "JOIN"):
             text = text.replace(f"{keyword} {base}", f"{keyword} {{{base}}}")
-        tables[base] = table(spark, sf_dir, base)
-    return spark.sql(text, **tables)
+    return spark.sql(text, **{base: table_of(base) for base in TABLES_OF[name]})
