@@ -84,6 +84,17 @@ def snapshot(df: DataFrame, ds: str, column: str = "ds") -> DataFrame:
     return df.filter(F.col(column) == F.lit(ds))
 
 
+def newest_rows(df: DataFrame, upto: str | None = None, column: str = "ds") -> DataFrame:
+    """Rows of the newest snapshot (at or before ``upto``), looked up inside the query.
+
+    Same rows as ``latest_snapshot`` or ``nearest_snapshot`` followed by ``snapshot``, without
+    a job of its own before the plan exists. For a table whose catalog lists its partitions
+    the named snapshot is better, as it prunes when the query is planned.
+    """
+    candidates = df if upto is None else df.filter(F.col(column) <= F.lit(upto))
+    return df.filter(F.col(column) == candidates.agg(F.max(column)).scalar())
+
+
 def ledger_range(df: DataFrame, start: str, end: str) -> DataFrame:
     """Ledger rows of the days ``start`` to ``end`` (``yyyyMMdd``, both included).
 

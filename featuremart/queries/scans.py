@@ -35,7 +35,8 @@ def list_partitions(bank):
     WHERE ds = (SELECT max(ds) FROM v_loan) GROUP BY ds
 """)
 def latest_partition(bank):
-    return partition_rows(bank.latest("v_loan"), "ds")
+    loans = bank.view("v_loan")
+    return partition_rows(snapshots.snapshot(loans, snapshots.latest_snapshot(loans)), "ds")
 
 
 @query("""
@@ -65,6 +66,14 @@ def ledger_range(bank):
     return bank.income_ledger.select("tr_acc", "tr_type", "amt", "year", "month", "day")
 
 
+@query("""
+    SELECT ds, count(*) AS row_count FROM v_saving
+    WHERE ds = (SELECT max(ds) FROM v_saving) GROUP BY ds
+""")
+def newest_rows(bank):
+    return partition_rows(snapshots.newest_rows(bank.view("v_saving")), "ds")
+
+
 @query("SELECT count(*) AS row_count FROM saving_now")
 def row_count(bank):
     return bank.saving.agg(F.count(F.lit(1)).alias("row_count"))

@@ -8,12 +8,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from featuremart.operators.scratch import stage
-from featuremart.operators.snapshots import (
-    ledger_range,
-    latest_snapshot,
-    nearest_snapshot,
-    snapshot,
-)
+from featuremart.operators.snapshots import ledger_range, newest_rows
 from featuremart.plans.card_master import card_master
 from featuremart.plans.customer_pool import customer_pool
 from featuremart.plans.dataset import inference_dataset
@@ -50,13 +45,11 @@ class Bank:
         return self._views[name]
 
     def latest(self, name: str) -> DataFrame:
-        rows = self.view(name)
-        return snapshot(rows, latest_snapshot(rows))
+        return newest_rows(self.view(name))
 
     @cached_property
     def saving(self) -> DataFrame:
-        rows = self.view("v_saving")
-        return snapshot(rows, nearest_snapshot(rows, PARAMS.data_ds))
+        return newest_rows(self.view("v_saving"), PARAMS.data_ds)
 
     @cached_property
     def trx(self) -> DataFrame:
