@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.functions.cleansing import as_int, cleansed
+from featuremart.functions.cleansing import as_int, cleansed, int_column
 
 # ---- Fixed values: they decide results and feed the trained encoders, so they are kept
 # ---- letter for letter.
@@ -132,9 +132,13 @@ def account_flag(account: Column) -> Column:
     return F.when(other, F.lit("NON_DEPO")).otherwise(F.lit("DEPO"))
 
 
-def eligible_saving(product: Column, status: Column, account: Column) -> Column:
+def eligible_saving(saving: DataFrame) -> Column:
     """Accounts that count as savings: listed product, not closed, allowed suffix."""
-    return product.isin(*SAVING_PRODUCTS) & (as_int(status) != CLOSED) & suffix_allowed(account)
+    return (
+        F.col("type").isin(*SAVING_PRODUCTS)
+        & (int_column(saving, "status") != CLOSED)
+        & suffix_allowed(F.col("acct_num"))
+    )
 
 
 def any_of(conditions: Sequence[Column]) -> Column:

@@ -6,16 +6,20 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import IntegralType, StringType
 
 # Partition columns are never rewritten: a rewritten one can no longer prune partitions.
 PARTITION_COLUMNS = ("ds", "batch", "year", "month", "day")
 
 
 def cleansed(text: Column) -> Column:
-    """Trim spaces; text that is empty or spells NAN becomes NULL."""
+    """Trim spaces; text that is empty or spells NAN becomes NULL.
+
+    The length is known without reading the text, so only three-byte texts are folded.
+    """
     trimmed = F.trim(text)
-    return F.when(~F.upper(trimmed).isin("", "NAN"), trimmed)
+    size = F.octet_length(trimmed)
+    return F.when((size > 0) & ((size != 3) | (F.upper(trimmed) != "NAN")), trimmed)
 
 
 def cleanse_table(df: DataFrame, exclude: Iterable[str] = PARTITION_COLUMNS) -> DataFrame:
@@ -46,6 +50,13 @@ def as_int(value: Column) -> Column:
     return F.trim(value.cast("string")).try_cast("int")
 
 
+def int_column(df: DataFrame, name: str) -> Column:
+    """A column as whole numbers; one that holds them already is taken as it is."""
+    if isinstance(df.schema[name].dataType, IntegralType):
+        return F.col(name)
+    return as_int(F.col(name))
+
+
 def as_account_key(value: Column) -> Column:
     """64-bit account number; text that is no number gives NULL and so never joins."""
     return F.trim(value.cast("string")).try_cast("bigint")

@@ -53,14 +53,20 @@ def count_distinct_if(
     )
 
 
+# Product family, name part, account flag it needs and balance column.
+FAMILIES = (
+    ("TABUNGAN", "tab", "NON_DEPO", "credit_balance"),
+    ("GIRO", "giro", "NON_DEPO", "credit_balance"),
+    ("DEPOSITO", "dep", "DEPO", "deposit_balance"),
+)
+
+
 @dataclass(frozen=True)
 class Cell:
-    """One cell of the measure matrix: rows of one product, state and currency."""
+    """One cell of the measure matrix: rows of one family, state and currency."""
 
-    family: str  # product family
-    short: str  # its part of the measure name
-    flag: str  # account flag the family needs
-    balance: str  # column to sum
+    number: int
+    short: str
     active: bool
     local: bool  # in IDR
 
@@ -69,26 +75,12 @@ class Cell:
         state = "aktif" if self.active else "nonaktif"
         return f"saving_{self.short}_{state}_{'idr' if self.local else 'nonidr'}"
 
-    def holds(self) -> Column:
-        status, currency = F.col("status"), F.col("curr_type")
-        return (
-            (F.col("flag") == self.flag)
-            & (F.col("keterangan") == self.family)
-            & (status == ACTIVE if self.active else status != ACTIVE)
-            & (currency == "IDR" if self.local else currency != "IDR")
-        )
-
-
-# Product family, name part, account flag and balance column.
-FAMILIES = (
-    ("TABUNGAN", "tab", "NON_DEPO", "credit_balance"),
-    ("GIRO", "giro", "NON_DEPO", "credit_balance"),
-    ("DEPOSITO", "dep", "DEPO", "deposit_balance"),
-)
 
 CELLS = tuple(
-    Cell(*family, active, local)
-    for family, active, local in combinations_of(FAMILIES, (True, False), (True, False))
+    Cell(number, short, active, local)
+    for number, ((_, short, _, _), active, local) in enumerate(
+        combinations_of(FAMILIES, (True, False), (True, False))
+    )
 )
 # Savings and current accounts.
 CASA_CELLS = tuple(cell for cell in CELLS if cell.short != "dep")
@@ -98,13 +90,47 @@ def active_cells(cells: Sequence[Cell]) -> tuple[Cell, ...]:
     return tuple(cell for cell in cells if cell.active)
 
 
-def _cell_columns(cells: Sequence[Cell]) -> tuple[Column, Column]:
-    """Number of the cell a row is in (a row is in one at most), and the amount it adds."""
-    number, amount = F, F
-    for i, cell in enumerate(cells):
-        number = number.when(cell.holds(), F.lit(i))
-        amount = amount.when(F.col("_cell") == i, F.col(cell.balance))
-    return number, amount
+def with_cells(df: DataFrame) -> DataFrame:
+    """Add ``_cell``, the number of the cell a row is in, and ``_amount``, its balance there.
+
+    A row is in one cell at most; the number is NULL when it is in none.
+    """
+    family, amount = F, F
+    for i, (name, _, flag, balance) in enumerate(FAMILIES):
+        is_family = (F.col("flag") == flag) & (F.col("keterangan") == name)
+        family = family.when(is_family, F.lit(i))
+        amount = amount.when(F.col("_family") == i, F.col(balance))
+    inactive = (F.col("status") != ACTIVE).cast("int")
+    foreign = (F.col("curr_type") != "IDR").cast("int")
+    return (
+        df.withColumn("_family", family)
+        .withColumns({"_cell": F.col("_family") * 4 + inactive * 2 + foreign, "_amount": amount})
+        .drop("_family")
+    )
+
+
+def in_cells(cells: Sequence[Cell]) -> Column:
+    return F.col("_cell").isin(*[cell.number for cell in cells])
+
+
+def accounts_by_cell(
+    df: DataFrame, key: str, account: str, cells: Sequence[Cell]
+) -> DataFrame:
+    """One row per key, cell and account, with the balance of the account there.
+
+    As a row is in one cell at most, it travels as (key, account, cell, amount) whatever the
+    number of measures. Grouping by all of these turns distinct counts into plain ones and
+    spreads the accounts of a large key over many tasks. A row in none of the cells just
+    keeps its key in the result.
+    """
+    here = in_cells(cells)
+    rows = with_cells(df).select(
+        key,
+        F.when(here, F.col("_cell")).alias("_cell"),
+        F.when(here, F.col(account)).alias("_account"),
+        F.when(here, F.col("_amount")).alias("_amount"),
+    )
+    return rows.groupBy(key, "_account", "_cell").agg(F.sum("_amount").alias("_amount"))
 
 
 def measure_matrix(
@@ -112,26 +138,31 @@ def measure_matrix(
 ) -> DataFrame:
     """Distinct accounts and balance of every cell per ``key``, in one pass over ``df``.
 
-    As a row is in one cell at most, it travels as (key, account, cell, amount) whatever the
-    number of measures. Grouping by all of these first turns the distinct counts into plain
-    ones and spreads the accounts of a large key over many tasks; both groupings combine rows
-    before they shuffle. A row without account takes part in the sums only, a row in no cell
-    just keeps its key in the result.
+    Both groupings combine rows before they shuffle. A row without account takes part in the
+    sums only.
     """
-    number, amount = _cell_columns(cells)
-    in_cells = df.withColumn("_cell", number).select(
-        key, F.when(F.col("_cell").isNotNull(), F.col(account)).alias("_account"), "_cell",
-        amount.alias("_amount"),
-    )
-    accounts = in_cells.groupBy(key, "_account", "_cell").agg(F.sum("_amount").alias("_amount"))
     measures = []
-    for i, cell in enumerate(cells):
-        here = F.col("_cell") == i
+    for cell in cells:
+        hit = F.col("_cell") == cell.number
         measures += [
-            F.count_if(here & F.col("_account").isNotNull()).alias(f"{cell.name}_count"),
-            sum_or_null(here, F.col("_amount")).alias(f"{cell.name}_sum"),
+            F.count_if(hit & F.col("_account").isNotNull()).alias(f"{cell.name}_count"),
+            sum_or_null(hit, F.col("_amount")).alias(f"{cell.name}_sum"),
         ]
-    return accounts.groupBy(key).agg(*measures)
+    return accounts_by_cell(df, key, account, cells).groupBy(key).agg(*measures)
+
+
+def measure_totals(
+    df: DataFrame, key: str, account: str, cells: Sequence[Cell], count: str, total: str
+) -> DataFrame:
+    """The sums of the counts and of the balances of the matrix over ``cells``, without it."""
+    return (
+        accounts_by_cell(df, key, account, cells)
+        .groupBy(key)
+        .agg(
+            F.count("_account").alias(count),
+            F.coalesce(F.sum("_amount"), F.lit(0)).alias(total),
+        )
+    )
 
 
 def number_or_null(value: Column) -> Column:

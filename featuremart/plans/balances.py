@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.functions.classes import account_flag
-from featuremart.functions.cleansing import as_int, as_money, cleanse_table, upper_trimmed
+from featuremart.functions.cleansing import as_money, cleanse_table, int_column, upper_trimmed
 
 
 def balance_accounts(saving: DataFrame) -> DataFrame:
@@ -15,7 +15,7 @@ def balance_accounts(saving: DataFrame) -> DataFrame:
     return accounts.select(
         "user_id",
         F.col("acct_num").cast("string").alias("acct_num"),
-        as_int(F.col("status")).alias("status"),
+        int_column(accounts, "status").alias("status"),
         as_money(accounts, "credit_balance").alias("credit_balance"),
         as_money(accounts, "deposit_balance").alias("deposit_balance"),
         upper_trimmed(F.col("curr_type")).alias("curr_type"),

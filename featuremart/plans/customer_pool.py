@@ -13,7 +13,7 @@ from featuremart.functions.classes import (
     income_class,
     occupation_class,
 )
-from featuremart.functions.cleansing import as_int
+from featuremart.functions.cleansing import int_column
 from featuremart.functions.dates import age_years, before, birth_day
 from featuremart.operators.aggregates import any_flag
 from featuremart.operators.joins import hot_keys, skew_join
@@ -24,18 +24,16 @@ def account_summary(saving: DataFrame) -> DataFrame:
 
     Both come from one pass over the snapshot.
     """
-    eligible = eligible_saving(F.col("type"), F.col("status"), F.col("acct_num"))
     return saving.groupBy(F.trim("user_id").alias("user_id")).agg(
-        F.min(F.when(eligible, F.col("open_date"))).alias("open_date_saving"),
-        any_flag(as_int(F.col("status")) == ACTIVE).alias("is_active"),
+        F.min(F.when(eligible_saving(saving), F.col("open_date"))).alias("open_date_saving"),
+        any_flag(int_column(saving, "status") == ACTIVE).alias("is_active"),
     )
 
 
 def first_open_date(saving: DataFrame, cutoff: str) -> DataFrame:
     """Users with an eligible account opened before ``cutoff``, and the first such day."""
-    eligible = eligible_saving(F.col("type"), F.col("status"), F.col("acct_num"))
     return (
-        saving.filter(eligible)
+        saving.filter(eligible_saving(saving))
         .groupBy(F.trim("user_id").alias("user_id"))
         .agg(F.min("open_date").alias("open_date_saving"))
         .filter(before(F.col("open_date_saving"), cutoff))

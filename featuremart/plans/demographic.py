@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.functions.classes import ACTIVE, LOAN_TYPES, eligible_saving, region_class
-from featuremart.functions.cleansing import as_int, cleanse_table
+from featuremart.functions.cleansing import cleanse_table, int_column
 from featuremart.functions.dates import before
 from featuremart.operators.windows import keep_first
 
@@ -27,10 +27,9 @@ def first_accounts(saving: DataFrame, cutoff: str) -> DataFrame:
 
     Accounts opened on the same day are told apart by account number and branch.
     """
-    accounts = cleanse_table(saving).filter(
-        F.col("user_id").isNotNull()
-        & F.col("branch").isNotNull()
-        & eligible_saving(F.col("type"), F.col("status"), F.col("acct_num"))
+    accounts = cleanse_table(saving)
+    accounts = accounts.filter(
+        eligible_saving(accounts) & F.col("user_id").isNotNull() & F.col("branch").isNotNull()
     ).select("user_id", "open_date", "acct_num", "branch")
     order = [F.asc_nulls_first(c) for c in ("open_date", "acct_num", "branch")]
     return keep_first(accounts, "user_id", order).filter(before(F.col("open_date"), cutoff))
@@ -40,7 +39,7 @@ def active_loan_users(loan: DataFrame) -> DataFrame:
     """Users with an active loan of a listed type."""
     return (
         cleanse_table(loan)
-        .filter((as_int(F.col("status")) == ACTIVE) & F.col("type").isin(*LOAN_TYPES))
+        .filter((int_column(loan, "status") == ACTIVE) & F.col("type").isin(*LOAN_TYPES))
         .select("user_id", F.lit(1).alias("has_loan"))
         .distinct()
     )

@@ -13,6 +13,7 @@ from featuremart.operators.aggregates import (
     Cell,
     active_cells,
     measure_matrix,
+    measure_totals,
     null_safe_total,
 )
 from featuremart.plans.balances import balance_accounts
@@ -31,9 +32,8 @@ def portfolio_rollup(saving: DataFrame, cells: Sequence[Cell] = CASA_CELLS) -> D
 
 def portfolio_features(pool: DataFrame, saving: DataFrame) -> DataFrame:
     """Features per pool row; NULL for a user without accounts."""
-    totals = portfolio_rollup(saving, active_cells(CASA_CELLS)).select(
-        "user_id",
-        "saving_casa_aktif_count_na",
-        F.col("saving_casa_aktif_sum_na").cast("double").alias("saving_casa_aktif_sum_na"),
-    )
+    count, total = "saving_casa_aktif_count_na", "saving_casa_aktif_sum_na"
+    totals = measure_totals(
+        balance_accounts(saving), "user_id", "acct_num", active_cells(CASA_CELLS), count, total
+    ).withColumn(total, F.col(total).cast("double"))
     return cleanse_table(pool).select("user_id").join(totals, "user_id", "left")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,9 +9,10 @@ from featuremart.functions.cleansing import as_money, cleanse_table
 from featuremart.operators.aggregates import (
     CASA_CELLS,
     CELLS,
-    Cell,
     active_cells,
+    in_cells,
     sum_or_zero,
+    with_cells,
 )
 from featuremart.operators.joins import hot_keys, skew_join
 from featuremart.operators.snapshots import ledger_range
@@ -24,15 +23,9 @@ WINDOW_DAYS = 30
 
 def balance_totals(accounts: DataFrame) -> DataFrame:
     """Active balance per user, without and with deposits."""
-
-    def balance(cells: Sequence[Cell]) -> Column:
-        held = F
-        for cell in active_cells(cells):
-            held = held.when(cell.holds(), F.col(cell.balance))
-        return F.sum(held.otherwise(F.lit(0)))
-
-    return accounts.groupBy("user_id").agg(
-        balance(CASA_CELLS).alias("casa_sum"), balance(CELLS).alias("casatd_sum")
+    return with_cells(accounts).groupBy("user_id").agg(
+        sum_or_zero(in_cells(active_cells(CASA_CELLS)), F.col("_amount")).alias("casa_sum"),
+        sum_or_zero(in_cells(active_cells(CELLS)), F.col("_amount")).alias("casatd_sum"),
     )
 
 

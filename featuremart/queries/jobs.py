@@ -29,22 +29,22 @@ def job_customer_pool(bank):
 
 @query("SELECT * FROM demographic")
 def job_demographic(bank):
-    return bank.demographic
+    return bank.demographic_of(bank.pool)
 
 
 @query("SELECT * FROM portfolio")
 def job_portfolio(bank):
-    return bank.portfolio
+    return bank.portfolio_of(bank.pool)
 
 
 @query("SELECT * FROM income")
 def job_income(bank):
-    return bank.income
+    return bank.income_of(bank.pool)
 
 
 @query("SELECT * FROM ratios")
 def job_ratios(bank):
-    return bank.ratios
+    return bank.ratios_of(bank.pool)
 
 
 @query("SELECT * FROM dataset")

@@ -130,9 +130,7 @@ def join_ledger(bank):
 
 @query("SELECT * FROM assembled")
 def assemble_features(bank):
-    return assemble(
-        bank.staged_pool, bank.staged_demographic, bank.portfolio, bank.income, bank.ratios
-    )
+    return assemble(*bank.marts)
 
 
 @query("SELECT user_id, is_credit_card, is_inactive FROM pool")

@@ -92,43 +92,36 @@ class Bank:
     def staged_pool(self) -> DataFrame:
         return stage(self.pool, "pool")
 
-    @cached_property
-    def demographic(self) -> DataFrame:
+    def demographic_of(self, pool: DataFrame) -> DataFrame:
         return demographic_features(
-            self.staged_pool,
-            self.saving,
-            self.view("v_branch"),
-            self.latest("v_loan"),
-            PARAMS.cutoff,
+            pool, self.saving, self.view("v_branch"), self.latest("v_loan"), PARAMS.cutoff
         )
 
-    @cached_property
-    def staged_demographic(self) -> DataFrame:
-        """Written, as numbering the dataset reads it twice."""
-        return stage(self.demographic, "demographic")
+    def portfolio_of(self, pool: DataFrame) -> DataFrame:
+        return portfolio_features(pool, self.saving)
 
-    @cached_property
-    def portfolio(self) -> DataFrame:
-        return portfolio_features(self.staged_pool, self.saving)
+    def income_of(self, pool: DataFrame) -> DataFrame:
+        return income_features(pool, self.saving, self.trx, *self.income_range)
 
-    @cached_property
-    def income(self) -> DataFrame:
-        return income_features(self.staged_pool, self.saving, self.trx, *self.income_range)
+    def ratios_of(self, pool: DataFrame) -> DataFrame:
+        return ratio_features(pool, self.saving, self.trx, *self.ratio_range)
 
     @cached_property
-    def ratios(self) -> DataFrame:
-        return ratio_features(self.staged_pool, self.saving, self.trx, *self.ratio_range)
+    def marts(self) -> tuple[DataFrame, ...]:
+        """The inputs of the dataset. The pool, which all others read, is written once, and so
+        are the demographic features, which the numbering reads a second time."""
+        pool = self.staged_pool
+        return (
+            pool,
+            stage(self.demographic_of(pool), "demographic"),
+            self.portfolio_of(pool),
+            self.income_of(pool),
+            self.ratios_of(pool),
+        )
 
     @cached_property
     def dataset(self) -> DataFrame:
-        return inference_dataset(
-            self.staged_pool,
-            self.staged_demographic,
-            self.portfolio,
-            self.income,
-            self.ratios,
-            PARAMS.ds,
-        )
+        return inference_dataset(*self.marts, PARAMS.ds)
 
     @cached_property
     def staged_dataset(self) -> DataFrame:

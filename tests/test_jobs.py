@@ -234,9 +234,7 @@ def test_ratio_features(spark):
 
 @pytest.fixture(scope="module")
 def marts(bank):
-    return (
-        bank.staged_pool, bank.staged_demographic, bank.portfolio, bank.income, bank.ratios
-    )
+    return bank.marts
 
 
 def test_dataset_is_whole_and_repeatable(bank, marts):
@@ -299,9 +297,10 @@ def test_all_jobs_on_catalog_tables(spark, bank):
     for job in JOBS:
         assert run_job(spark, job, RUN_DATE)
     expected = {
-        "card_master": bank.card_master, "pool": bank.staged_pool,
-        "demographic": bank.staged_demographic, "portfolio": bank.portfolio,
-        "income": bank.income, "ratios": bank.ratios, "dataset": bank.staged_dataset,
+        "card_master": bank.card_master, "dataset": bank.staged_dataset,
+        **dict(
+            zip(("pool", "demographic", "portfolio", "income", "ratios"), bank.marts, strict=True)
+        ),
     }
     for job, df in expected.items():
         written = spark.table(MART_TABLES[job])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from featuremart.operators import sinks, snapshots
 from featuremart.operators.aggregates import (
     CELLS,
+    FAMILIES,
     count_distinct_if,
     measure_matrix,
     median_by,
@@ -108,12 +109,13 @@ def test_hot_keys_are_few_and_not_null(spark):
 
 
 def naive_matrix(data):
+    family_of = {short: (name, flag) for name, short, flag, _ in FAMILIES}
     out = {}
     for user, account, flag, family, status, currency, credit, deposit in data:
         cells = out.setdefault(user, {c.name: (set(), []) for c in CELLS})
         for c in CELLS:
             if (
-                flag == c.flag and family == c.family and status is not None
+                (family, flag) == family_of[c.short] and status is not None
                 and (status == 1) == c.active and currency is not None
                 and (currency == "IDR") == c.local
             ):
