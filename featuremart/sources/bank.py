@@ -108,15 +108,18 @@ class Bank:
 
     @cached_property
     def marts(self) -> tuple[DataFrame, ...]:
-        """The inputs of the dataset. The pool, which all others read, is written once, and so
-        are the demographic features, which the numbering reads a second time."""
-        pool = self.staged_pool
+        """The inputs of the dataset. What several of them read is written once: the account
+        snapshot, the pool, and the demographic features, which are needed for the numbering
+        as well."""
+        once = Bank(self.spark, self.sf_dir)
+        once.saving = stage(self.saving, "saving")
+        pool = once.staged_pool
         return (
             pool,
-            stage(self.demographic_of(pool), "demographic"),
-            self.portfolio_of(pool),
-            self.income_of(pool),
-            self.ratios_of(pool),
+            stage(once.demographic_of(pool), "demographic"),
+            once.portfolio_of(pool),
+            once.income_of(pool),
+            once.ratios_of(pool),
         )
 
     @cached_property
