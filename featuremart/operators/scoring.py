@@ -8,30 +8,37 @@ from math import log
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.operators.aggregates import median_by, number_or_null
 
 MAX_LABELS = 1000
+MAX_BROADCAST_ROWS = 100_000
 MAX_MODEL_NODES = 1_000_000
 # Above this size a model is evaluated on Arrow batches, as its expression would outgrow what
 # the JVM compiles into one method.
 MAX_EXPRESSION_NODES = 500
 
 
-def impute_median(df: DataFrame, columns: Sequence[str], batch: str) -> DataFrame:
+def impute_median(
+    df: DataFrame, columns: Sequence[str], batch: str, batches: int | None = None
+) -> DataFrame:
     """Replace missing numbers by the median of the row's scoring batch.
 
     Columns come back as doubles; a batch without any value keeps NULL. A batch has a fixed
     number of rows, so no task holds more values than that. There is one row of medians per
-    batch; a nine-digit row number keeps those few enough to broadcast.
+    batch; they are broadcast when the number of ``batches`` is known and small, and are
+    joined as Spark sees fit otherwise.
     """
     medians = median_by(df, batch, columns).select(
         batch, *[F.col(c).alias(f"_median_{c}") for c in columns]
     )
     filled = {c: F.coalesce(number_or_null(F.col(c)), F.col(f"_median_{c}")) for c in columns}
-    out = df.join(F.broadcast(medians), batch, "left").withColumns(filled)
+    if batches is not None and batches <= MAX_BROADCAST_ROWS:
+        medians = F.broadcast(medians)
+    out = df.join(medians, batch, "left").withColumns(filled)
     return out.select(*df.columns)
 
 
@@ -144,13 +151,15 @@ def score_in_batches(df: DataFrame, predict, features: Sequence[str], name: str)
     """Append ``predict(values)`` to every row, one Arrow batch at a time.
 
     ``predict`` takes an array of shape (rows, features) with NaN for missing values and gives
-    one probability per row. It is sent to the executors once per task.
+    one probability per row. It reaches every executor once, as a broadcast variable.
     """
+    shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(predict))
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = cloudpickle.loads(shared.value)
         for batch in batches:
             values = batch[list(features)].to_numpy(dtype="float64", na_value=np.nan)
-            yield batch.assign(**{name: predict(values)})
+            yield batch.assign(**{name: model(values)})
 
     schema = df.withColumn(name, F.lit(0.0)).schema
     return df.mapInPandas(run, schema)

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from featuremart.operators.scratch import stage
+
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
@@ -71,8 +73,11 @@ def write_snapshot(
     large; no trial run is needed. Turn it off to keep rows in the order they come in.
     """
     spark = df.sparkSession
-    if skip_if_empty and df.isEmpty():
-        return False
+    if skip_if_empty:
+        # Written once to scratch: looking for a first row must not run the whole plan twice.
+        df = stage(df, "checked")
+        if df.isEmpty():
+            return False
     in_batches = batch is not None or "batch" in df.columns
     partitions = ["ds", "batch"] if in_batches else ["ds"]
     out = audit_columns(df, ds, modified, batch)

@@ -79,6 +79,22 @@ def nearest_snapshot(
     return found
 
 
+def nearest_partition(
+    spark: SparkSession, table: str, upto: str, max_lookback_days: int = 31
+) -> str:
+    """``nearest_snapshot`` for a catalog table.
+
+    The catalog names the candidates; the newest one that holds a row is taken, which as a
+    rule is the first one looked into.
+    """
+    floor = compact(datetime.strptime(upto, "%Y%m%d") - timedelta(days=max_lookback_days))
+    names = {found["ds"] for found in list_partitions(spark, table) or ()}
+    for name in sorted((n for n in names if floor <= n <= upto), reverse=True):
+        if not snapshot(spark.read.table(table), name).isEmpty():
+            return name
+    raise NoSnapshot(f"{table} has no snapshot from {floor} to {upto}")
+
+
 def snapshot(df: DataFrame, ds: str, column: str = "ds") -> DataFrame:
     """Rows of one snapshot. The test is on the raw column, so it prunes partitions."""
     return df.filter(F.col(column) == F.lit(ds))

@@ -57,10 +57,11 @@ def model_inputs(
     labels: Mapping[str, Sequence[str]] = CLASS_LABELS,
     batch_size: int = BATCH_SIZE,
     unseen: str = "error",
+    batches: int | None = None,
 ) -> DataFrame:
     """Rows with a region, in batches: numbers without gaps, labels as codes."""
     rows = dataset.withColumn("batch", batch_of(sequence_of(F.col("id")), batch_size))
-    rows = impute_median(rows.dropna(subset=[REGION]), NUMERIC, "batch")
+    rows = impute_median(rows.dropna(subset=[REGION]), NUMERIC, "batch", batches)
     return encode_labels(rows, labels, unseen)
 
 
@@ -78,7 +79,7 @@ def model_scores(
     batch names are.
     """
     total = dataset.count() if rows is None else rows
-    inputs = model_inputs(dataset, labels, batch_size)
+    inputs = model_inputs(dataset, labels, batch_size, batches=-(-total // batch_size))
     return score(inputs, model, FEATURES, "pred_proba").select(
         "id",
         "user_id",

@@ -117,8 +117,8 @@ def distinct_rows(bank):
 
 @query("""
     SELECT user_id, acct_num, strftime(open_date, '%Y-%m-%d %H:%M:%S') AS open_date
-    FROM saving_clean WHERE type = 'XA'
+    FROM saving_clean
 """)
 def sorted_output(bank):
-    rows = cleanse_table(bank.saving).filter(F.col("type") == "XA")
+    rows = cleanse_table(bank.saving)
     return sinks.sorted_output(rows.select("user_id", "acct_num", stamped("open_date")), "acct_num")

@@ -34,17 +34,10 @@ NUMBERED = """
 
 
 def _numbered(bank):
-    accounts = bank.view("v_saving").select("acct_num", "user_id")
-    numbered = number_rows(
-        accounts, ["acct_num"], sizes_from=bank.table("orders").select(_account().alias("acct_num"))
-    )
+    numbered = number_rows(bank.view("v_saving").select("acct_num", "user_id"), ["acct_num"])
     return numbered.select(row_id(PARAMS.ds, F.col("row_number")).alias("id"), "acct_num", "user_id")
 
 
-def _account():
-    return F.lpad(F.col("o_orderkey").cast("string"), 12, "0")
-
-
 @query(NUMBERED)
 def global_row_id(bank):
     return _numbered(bank)

@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable, Mapping
 from datetime import date, datetime
+from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,7 +22,7 @@ from featuremart.operators.snapshots import (
     NoSnapshot,
     latest_partition,
     list_partitions,
-    nearest_snapshot,
+    nearest_partition,
     snapshot,
 )
 from featuremart.params import RunParams
@@ -35,6 +36,9 @@ from featuremart.plans.scores import CLASS_LABELS, model_scores
 from featuremart.session import build_session
 from featuremart.sources.catalog import MART_TABLES, read, table_name
 
+# Clock of the bank; the day of a run and the stamp on written rows follow it.
+BANK_TIME = ZoneInfo("Asia/Jakarta")
+
 # Marts that have to hold the snapshot of the run before the dataset is assembled.
 FEATURE_MARTS = ("demographic", "portfolio", "income", "ratios")
 
@@ -57,8 +61,10 @@ class Run:
         return snapshot(self.whole(role), found["ds"])
 
     def saving(self) -> DataFrame:
-        rows = self.whole("saving")
-        return snapshot(rows, nearest_snapshot(rows, self.params.data_ds))
+        name = table_name("saving", self.names)
+        return snapshot(
+            self.whole("saving"), nearest_partition(self.spark, name, self.params.data_ds)
+        )
 
     def has(self, role: str, ds: str) -> bool:
         """Whether a mart holds snapshot ``ds``; only the catalog is asked."""
@@ -150,7 +156,7 @@ def run_job(
     if job != "card_master" and not (run.params.is_run_day or force):
         return False
     table = table_name(job, names)
-    modified = modified or datetime.now()
+    modified = modified or datetime.now(BANK_TIME)
     if job == "scores":
         if model is None:
             raise ValueError("scores need a model")
@@ -174,7 +180,9 @@ def run_job(
 def main() -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("job", choices=list(MART_TABLES))
-    parser.add_argument("--date", type=date.fromisoformat, required=True)
+    parser.add_argument(
+        "--date", type=date.fromisoformat, default=datetime.now(BANK_TIME).date()
+    )
     parser.add_argument("--model", help="node table of the model")
     parser.add_argument("--labels", help="label table of the encoders")
     parser.add_argument("--force", action="store_true", help="run on any day")

@@ -236,9 +236,10 @@ def test_impute_per_batch(spark):
         [(1, 1, 5.0), (2, 1, None), (3, 1, 7.0), (4, 2, None), (5, 3, 2.0), (6, 3, float("nan"))],
         "i int, b int, x double",
     )
-    assert rows(impute_median(df, ["x"], "b")) == Counter(
-        [(1, 1, 5.0), (2, 1, 6.0), (3, 1, 7.0), (4, 2, None), (5, 3, 2.0), (6, 3, 2.0)]
-    )
+    for batches in (None, 3, 10**9):
+        assert rows(impute_median(df, ["x"], "b", batches)) == Counter(
+            [(1, 1, 5.0), (2, 1, 6.0), (3, 1, 7.0), (4, 2, None), (5, 3, 2.0), (6, 3, 2.0)]
+        )
 
 
 def test_labels(spark):
@@ -350,6 +351,17 @@ def test_nearest_snapshot_is_bounded(spark):
     assert rows(snapshots.newest_rows(df, "20230101")) == Counter()
 
 
+def test_nearest_partition_skips_empty_ones(spark, table):
+    df = spark.createDataFrame([(1, "20230301"), (2, "20230225")], "x int, ds string")
+    df.write.partitionBy("ds").saveAsTable(table)
+    spark.sql(f"ALTER TABLE {table} ADD PARTITION (ds='20230303')")
+    assert snapshots.nearest_partition(spark, table, "20230304") == "20230301"
+    assert snapshots.nearest_partition(spark, table, "20230228") == "20230225"
+    for upto in ("20230224", "20230601"):
+        with pytest.raises(snapshots.NoSnapshot):
+            snapshots.nearest_partition(spark, table, upto)
+
+
 def test_partition_filters_reach_the_scan(spark, table, plan_of):
     spark.createDataFrame(
         [(1, "2023", "01", "31"), (2, "2023", "02", "01"), (3, "2022", "12", "31")],
