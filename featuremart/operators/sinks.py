@@ -13,7 +13,9 @@ from featuremart.operators.scratch import stage
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
 
-def audit_columns(df: DataFrame, ds: str, modified: datetime, batch: str | None = None) -> DataFrame:
+def audit_columns(
+    df: DataFrame, ds: str, modified: datetime, batch: str | None = None
+) -> DataFrame:
     """Append the snapshot name, the batch if there is one, and the time of the run."""
     stamps = {"ds": F.lit(ds), "modified_date": F.lit(modified)}
     if batch is not None:
@@ -65,7 +67,8 @@ def write_snapshot(
     """Replace one snapshot of a catalog table and tell whether anything was written.
 
     With ``batch`` one (ds, batch) partition is replaced. Without it the whole snapshot is; a
-    column ``batch`` in ``df`` then spreads it over batch partitions, all in one job. The
+    column ``batch`` in ``df`` then spreads it over batch partitions, all in one job (in the
+    session's static overwrite mode, the default, batches of an earlier run go as well). The
     table is made when it is not there yet.
 
     ``rebalance`` lets Spark size the files from what the shuffle measured (set the size with

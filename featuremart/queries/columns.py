@@ -231,7 +231,7 @@ def national_id_cleanse(bank):
 
 @query("""
     SELECT user_id, try_cast(trim(user_id) AS INTEGER) AS number,
-           CAST(try_strptime(text, '%Y-%m-%d') AS DATE) IS NOT NULL AS has_date,
+           CAST(try_strptime(text, '%Y-%m-%d') IS NOT NULL AS INTEGER) AS has_date,
            100.0 / nullif(try_cast(trim(user_id) AS INTEGER) % 10, 0) AS quotient
     FROM (SELECT user_id, CASE WHEN user_id LIKE '%X' THEN 'bad'
                                ELSE strftime(tanggal_lahir, '%Y-%m-%d') END AS text
@@ -245,6 +245,6 @@ def safe_parse(bank):
     return bank.view("v_cust_info").select(
         "user_id",
         number.alias("number"),
-        birth_day(text).isNotNull().alias("has_date"),
+        birth_day(text).isNotNull().cast("int").alias("has_date"),
         F.try_divide(F.lit(100.0), number % 10).alias("quotient"),
     )

@@ -118,8 +118,10 @@ def sample_rows(bank):
 """)
 def audit_columns(bank):
     rows = bank.view("v_loan").select("user_id", "type")
-    stamped = sinks.audit_columns(rows, PARAMS.ds, bank.modified, "1")
-    return stamped.withColumn("modified_date", F.col("modified_date").cast("string"))
+    in_utc = F.to_utc_timestamp("modified_date", F.current_timezone())
+    return sinks.audit_columns(rows, PARAMS.ds, bank.modified, "1").withColumn(
+        "modified_date", F.date_format(in_utc, "yyyy-MM-dd HH:mm:ss")
+    )
 
 
 @query("""

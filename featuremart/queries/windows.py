@@ -35,7 +35,8 @@ NUMBERED = """
 
 def _numbered(bank):
     numbered = number_rows(bank.view("v_saving").select("acct_num", "user_id"), ["acct_num"])
-    return numbered.select(row_id(PARAMS.ds, F.col("row_number")).alias("id"), "acct_num", "user_id")
+    ids = row_id(PARAMS.ds, F.col("row_number")).alias("id")
+    return numbered.select(ids, "acct_num", "user_id")
 
 
 @query(NUMBERED)

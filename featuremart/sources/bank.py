@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,7 +26,7 @@ class Bank:
     """Everything one run reads and derives. A mart that several jobs read is written once."""
 
     # Time stamped on rows the queries write, fixed so that they can be compared.
-    modified = datetime(2001, 6, 20, 8, 0, 0)
+    modified = datetime(2001, 6, 20, 8, 0, 0, tzinfo=UTC)
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark

@@ -19,7 +19,8 @@ from featuremart.params import RunParams, run_params_columns
 
 def column_of(spark, values, expression, kind="string"):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, x {kind}")
-    return [row.y for row in df.select("i", expression(F.col("x")).alias("y")).orderBy("i").collect()]
+    out = df.select("i", expression(F.col("x")).alias("y")).orderBy("i")
+    return [row.y for row in out.collect()]
 
 
 def test_cleansed_text(spark):
@@ -30,7 +31,8 @@ def test_cleansed_text(spark):
 
 
 def test_cleanse_table_keeps_partitions_and_types(spark):
-    df = spark.createDataFrame([(" x ", 1, " 20010615"), ("nan", 2, "")], "a string, b int, ds string")
+    data = [(" x ", 1, " 20010615"), ("nan", 2, "")]
+    df = spark.createDataFrame(data, "a string, b int, ds string")
     out = cleanse_table(df)
     assert out.dtypes == df.dtypes
     assert [tuple(r) for r in out.orderBy("b").collect()] == [("x", 1, " 20010615"), (None, 2, "")]
@@ -89,7 +91,8 @@ def test_income_entries(spark):
         (" nan ", "428", False),
         ("  ", "555", False),
     ]
-    df = spark.createDataFrame([(i, *r[:2]) for i, r in enumerate(rows)], "i int, r string, c string")
+    data = [(i, *r[:2]) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(data, "i int, r string, c string")
     out = df.select("i", classes.income_entry(F.col("r"), F.col("c")).alias("y")).orderBy("i")
     kept = [bool(row.y) for row in out.collect()]
     assert kept == [bool(r[2]) for r in rows]
