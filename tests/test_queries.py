@@ -30,3 +30,20 @@ def test_no_row_at_a_time_python(spark, plan_of):
         plan = plan_of(QUERIES[name](spark, SF_DIR))
         assert "BatchEvalPython" not in plan and "CartesianProduct" not in plan
         assert "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "job_card_master", "job_customer_pool", "job_income", "job_ratios", "join_trim_key",
+        "join_left_fanout",
+    ],
+)
+def test_splitting_every_key_changes_nothing(spark, duck, monkeypatch, name):
+    """With a limit of one row per task every repeated key counts as hot."""
+    from featuremart.operators import joins
+
+    monkeypatch.setattr(joins.hot_keys, "__defaults__", (1, 1, 0))
+    df = QUERIES[name](spark, SF_DIR)
+    assert "_piece" in df._jdf.queryExecution().analyzed().toString()
+    assert compare(df, duck, ORACLES[name]) == []
