@@ -9,15 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share.
+    """The folder all executors share, named by the cluster in ``spark.checkpoint.dir``.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where nothing is set, as in a test
-    session on one machine, a temporary folder is made and set.
+    Where nothing is set, a session on one machine (``local[...]``) makes itself a temporary folder;
+    on a cluster that is an error, as executors would not see each other's files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        named = tempfile.mkdtemp(prefix="featuremart-")
-        spark.sparkContext.setCheckpointDir(named)
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="featuremart-"))
         named = spark.sparkContext.getCheckpointDir()
     return named.rstrip("/")
 
