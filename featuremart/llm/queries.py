@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from featuremart.llm import simhash
+from featuremart.llm import lines, mixing, packing, simhash, toxicity
 
 QUERIES = {}
 ORACLES = {}
@@ -14,6 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The tokenizer of the contract; installed on every executor."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def query(oracle: str | None = None):
     def add(build):
         QUERIES[build.__name__] = build
@@ -28,3 +35,29 @@ def query(oracle: str | None = None):
 def op6_simhash_pivots(spark, sf_dir):
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query(oracle=lines.ORACLE)
+def op4_line_templates(spark, sf_dir):
+    """Every document without the lines of templates that recur across documents."""
+    return lines.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "row.doc_id", F.col("kept_text").alias("text"), "n_lines", "n_dropped"
+    )
+
+
+@query()
+def op8_cube_mixing(spark, sf_dir):
+    """Words the mix takes of every document."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op2_bin_completion(spark, sf_dir):
+    """Place of every piece of every document in the packed sequences."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query()
+def op9_classifier_chain(spark, sf_dir):
+    """Chance of each toxicity category of every document."""
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
