@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import lines, mixing, packing, simhash, toxicity
+from featuremart.llm import chat, lines, mixing, packing, quality, rollups, simhash, topk, toxicity
+from featuremart.operators.scratch import scratch_path
 
 QUERIES = {}
 ORACLES = {}
@@ -61,3 +62,30 @@ def op2_bin_completion(spark, sf_dir):
 def op9_classifier_chain(spark, sf_dir):
     """Chance of each toxicity category of every document."""
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(oracle=topk.ORACLE)
+def op10_block_max_topk(spark, sf_dir):
+    """Ten best of every row whose id is divisible by 100, against all rows."""
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query(oracle=chat.ORACLE)
+def op5_chat_round_trip(spark, sf_dir):
+    """Digests of every conversation, read back from the formatted text."""
+    return chat.digests(chat.with_conflict(table(spark, sf_dir, "conversations")))
+
+
+@query()
+def op7_token_rollups(spark, sf_dir):
+    """Documents and tokens by source, language and tokenizer, after three batches of changes."""
+    return rollups.corpus_counts(
+        table(spark, sf_dir, "documents"), scratch_path(spark, "rollup"), tokenizer_path(),
+        "byte_bpe_50k/1",
+    )
+
+
+@query()
+def op3_weak_label_quality(spark, sf_dir):
+    """Chance that each document is good."""
+    return quality.scores(table(spark, sf_dir, "documents"))
