@@ -17,7 +17,7 @@ import numpy as np
 
 ODD = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
 CUT = re.compile(r"(?<=\S)(?= \S)")
-KEPT_WORDS = 400_000
+KEPT_WORDS = 800_000
 BLOCK = 4096
 
 
