@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import chat, lines, mixing, packing, quality, rollups, simhash, topk, toxicity
+from featuremart.llm import chat, lattice, lines, mixing, packing, quality, rollups, simhash, topk, toxicity
 from featuremart.operators.scratch import scratch_path
 
 QUERIES = {}
@@ -89,3 +89,9 @@ def op7_token_rollups(spark, sf_dir):
 def op3_weak_label_quality(spark, sf_dir):
     """Chance that each document is good."""
     return quality.scores(table(spark, sf_dir, "documents"))
+
+
+@query(oracle=lattice.ORACLE)
+def op1_e8_lattice(spark, sf_dir):
+    """Links and component of every vector."""
+    return lattice.vector_components(table(spark, sf_dir, "embeddings"))
