@@ -7,8 +7,8 @@ rest is a variable field, so lines that differ only there share one. Templates a
 meet by an aggregation and no two lines are compared.
 
 A template recurs if it is in at least ``min_docs`` documents. Copies of one document would make all
-its lines recur, so documents are told apart by a signature, the least hash of the tree leaves of
-their lines: copies, and near copies but for few, have the same one and count once. Lines of a
+its lines recur, so documents are told apart by a signature, the least and the greatest hash of the
+tree leaves of their lines: copies, and most near copies, have the same one and count once. Lines of a
 recurring template are dropped from all documents but the first that has it (smallest doc_id);
 within a document nothing is dropped for being repeated there. Lines of fewer than ``min_tokens``
 tokens are left alone.
@@ -52,9 +52,9 @@ def leaf(tokens: Column) -> Column:
 
 
 def signature(token_lists: Column) -> Column:
-    """Least 60-bit hash of the leaves of a document's lines."""
-    digest = F.transform(token_lists, lambda t: F.substring(F.md5(leaf(t)), 1, 15))
-    return F.conv(F.array_min(digest), 16, 10).cast("long")
+    """Least and greatest hash of the leaves of a document's lines, as one number."""
+    digest = F.transform(token_lists, lambda t: F.md5(leaf(t)))
+    return F.xxhash64(F.array_min(digest), F.array_max(digest))
 
 
 def parts(tokens: Column) -> Column:
@@ -154,8 +154,8 @@ WITH l AS (
   FROM l
 ), f AS (
   SELECT *, len(tok) AS n, array_to_string(tok[1:3], ' ') AS lead,
-         min(('0x' || substr(md5(len(tok)::VARCHAR || ' ' || array_to_string(tok[1:3], ' ')), 1, 15))::BIGINT)
-           OVER (PARTITION BY r) AS signature
+         min(md5(len(tok)::VARCHAR || ' ' || array_to_string(tok[1:3], ' '))) OVER (PARTITION BY r)
+           || max(md5(len(tok)::VARCHAR || ' ' || array_to_string(tok[1:3], ' '))) OVER (PARTITION BY r) AS signature
   FROM m
 ), t AS (
   SELECT r, doc_id, pos, signature, unnest(CASE WHEN n >= 12 THEN [
