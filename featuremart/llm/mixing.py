@@ -7,7 +7,8 @@ frac(r). Which documents those are is a balanced sample: the cube method moves t
 inclusion probabilities through the null space of the constraints (words and documents of the
 sample), so both totals stay what they are in expectation, until all but two probabilities are zero
 or one. With two constraints three open units always leave a direction: the cross product of
-(1, 1, 1) and their sizes. What remains of a source is landed on the outcome nearest its words.
+(1, 1, 1) and their sizes. What remains of a source is landed on the outcome nearest its words, and
+where that is still off by most of a document, one drawn document is exchanged for one that is not.
 
 Equal rows (same id, text and source) are one unit with a multiplicity, so a row that is repeated
 very often is no hot group: of n rows with probability p, floor(n p) are certain and one is drawn
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from bisect import bisect_left
 from collections.abc import Sequence
 from itertools import product
 
@@ -119,18 +121,42 @@ def landing(sizes: Sequence[int], chances: list[float]) -> list[float]:
     return out
 
 
+def exchange(sizes: Sequence[int], before: list[float], landed: list[float]) -> list[float]:
+    """Exchanges one drawn unit for one that is not if that brings the words nearer.
+
+    Only units that were open ``before`` the flight take part; the number of documents stays.
+    """
+    off = sum(s * (e - p) for s, p, e in zip(sizes, before, landed, strict=True))
+    free = [i for i, p in enumerate(before) if EXACT < p < 1 - EXACT]
+    drawn = [i for i in free if landed[i] == 1]
+    rest = sorted((i for i in free if landed[i] == 0), key=lambda i: sizes[i])
+    known = [sizes[i] for i in rest]
+    best, least = None, abs(off)
+    for i in drawn:
+        at = bisect_left(known, sizes[i] - off)
+        for j in rest[max(0, at - 1) : at + 1]:
+            if abs(off - sizes[i] + sizes[j]) < least:
+                best, least = (i, j), abs(off - sizes[i] + sizes[j])
+    out = list(landed)
+    if best:
+        out[best[0]], out[best[1]] = 0.0, 1.0
+    return out
+
+
 def _fly(level: int, last: bool):
     def group(rows: pd.DataFrame) -> pd.DataFrame:
         source = rows["source"].iloc[0]
         name = repr((source if isinstance(source, str) else None, int(rows["bucket"].iloc[0]), level))
         rng = random.Random(zlib.crc32(name.encode("utf-8", "surrogatepass")))
         order = list(range(len(rows)))
-        keys = list(zip(rows["text_hash"], rows["id"], strict=True))
-        order.sort(key=lambda i: (zlib.crc32(repr(keys[i]).encode()), keys[i]))
+        keys = list(zip(-rows["size"], rows["text_hash"], rows["id"], strict=True))
+        order.sort(key=keys.__getitem__)
         rows = rows.iloc[order]
-        sizes, chances = rows["size"].tolist(), rows["chance"].tolist()
-        chances = flight(sizes, chances, rng)
-        return rows.assign(chance=landing(sizes, chances) if last else chances)
+        sizes, before = rows["size"].tolist(), rows["chance"].tolist()
+        after = flight(sizes, before, rng)
+        if last:
+            after = exchange(sizes, before, landing(sizes, after))
+        return rows.assign(chance=after)
 
     return group
 
