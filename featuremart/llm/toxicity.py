@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from featuremart.llm.linear import EDGES, Features, Linear, fit, tokens, word_features
 
-MAX_ROWS = 3000
+MAX_ROWS = 2000
 FOLDS = 3
 THRESHOLD = 0.5
 # Words that name a category.
@@ -110,7 +110,7 @@ def chain_chances(models: Sequence[Linear], ids: set[int]) -> list[float]:
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> list[Linear]:
     found = labelled(docs, labels, most).orderBy("doc_id").toPandas()  # bounded by 2 * most rows
-    rows = [np.array(f, dtype=np.int64) for f in found["features"]]
+    rows = [np.array(f, dtype=np.int32) for f in found.pop("features")]
     return fit_chain(rows, found[list(CATEGORIES)].to_numpy(dtype=np.float64).reshape(-1, len(CATEGORIES)))
 
 
