@@ -2,105 +2,27 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from typing import Any
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are treated as hot, so the list is small whatever the data size. A key
-# outside the list holds less than 1 / MAX_HOT_KEYS of the rows and needs no treatment.
-MAX_HOT_KEYS = 1000
-ROWS_PER_TASK = 2_000_000
-MAX_SALTS = 4096
-SAMPLE_EVERY = 64
-# Inputs below this size cannot hold a key that would keep one task busy for long.
-SKEW_MIN_BYTES = 256 * 1024 * 1024
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Size of all tables ``df`` reads, from Spark's own table statistics; runs no job."""
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
-    return sum(int(str(size)) for size in sizes)
-
 
-def hot_keys(
-    df: DataFrame,
-    key: str,
-    spread: Sequence[str],
-    rows_per_task: int = ROWS_PER_TASK,
-    sample_every: int = SAMPLE_EVERY,
-    min_bytes: int = SKEW_MIN_BYTES,
-) -> dict[Any, int]:
-    """Keys with more rows than one task should take, and the pieces each is to be cut into.
+def skew_join(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
+    """Join on one shared column so that adaptive execution can split a hot key of either side.
 
-    Counted on the rows whose content hashes into one of ``sample_every`` classes, unless all
-    inputs together are small. The choice affects the speed of a join only, never its result.
+    Adaptive execution splits a large partition by the map tasks that wrote it, whatever its rows
+    hold, and repeats the other side's partition per piece; the session also forces that where the
+    next step needs the rows together again. It can do so on both sides of an inner join, but on
+    the left of a left join only. So a left join is made of two: the inner join, and the left rows
+    whose key the right side lacks, for which its distinct keys do. Both read the same shuffle of
+    the left rows that have a key. The result is that of the plain join, null keys included. Where
+    the right side has one row per key, a plain left join does.
     """
-    if input_bytes(df) < min_bytes:
-        return {}
-    rows = df.filter(F.col(key).isNotNull())
-    if sample_every > 1:
-        rows = rows.filter(F.pmod(F.xxhash64(key, *spread), F.lit(sample_every)) == 0)
-    counted = (
-        rows.groupBy(F.col(key).alias("key"))
-        .agg((F.count(F.lit(1)) * sample_every).alias("rows"))
-        .filter(F.col("rows") > rows_per_task)
-        .orderBy(F.desc("rows"), "key")
-        .limit(MAX_HOT_KEYS)
-        .collect()
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported: {how}")
+    if how == "inner":
+        return left.join(right, on)
+    keyed = left.filter(F.col(on).isNotNull())
+    alone = keyed.join(right.select(on).distinct(), on, "left_anti").unionByName(
+        left.filter(F.col(on).isNull())
     )
-    return {row["key"]: _pieces(row["rows"], rows_per_task) for row in counted}
-
-
-def _pieces(rows: int, rows_per_task: int) -> int:
-    """Number of pieces, rounded up to a power of two so that few distinct numbers occur."""
-    needed = -(-rows // rows_per_task)
-    return min(MAX_SALTS, 1 << (needed - 1).bit_length())
-
-
-def _salts_of(key: Column, hot: dict[Any, int]) -> Column:
-    by_pieces: dict[int, list] = {}
-    for value, pieces in hot.items():
-        by_pieces.setdefault(pieces, []).append(value)
-    chain = F
-    for pieces, values in by_pieces.items():
-        chain = chain.when(key.isin(*values), F.lit(pieces))
-    return chain.otherwise(F.lit(1))
-
-
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: str,
-    how: str,
-    hot: dict[Any, int],
-    hot_side: str,
-    spread: Sequence[str],
-) -> DataFrame:
-    """Join on one shared column, with the ``hot`` keys of one side cut into pieces.
-
-    Rows of the hot side get a piece number from a hash of their own content (``spread``);
-    rows of the other side that carry a hot key are repeated once per piece. All other keys
-    join as usual. ``how`` is ``inner`` or ``left``. The hash makes a recomputed task give
-    the same pieces again.
-    """
-    if how not in ("inner", "left") or hot_side not in ("left", "right"):
-        raise ValueError(f"unsupported: how={how}, hot_side={hot_side}")
-    if not hot:
-        return left.join(right, on, how)
-    pieces = _salts_of(F.col(on), hot)
-    own = F.pmod(F.xxhash64(*spread), pieces).cast("int").alias("_piece")
-    every = F.explode(F.sequence(F.lit(0), pieces - 1)).alias("_piece")
-    keys = [on, "_piece"]
-    if hot_side == "left":
-        return left.select("*", own).join(right.select("*", every), keys, how).drop("_piece")
-    cut = right.select("*", own, F.lit(True).alias("_matched"))
-    joined = left.select("*", every).join(cut, keys, how)
-    if how == "left":
-        # A hot key was seen on the right, so each of its left rows has a match; a piece
-        # without one is an artefact of the repetition.
-        joined = joined.filter(F.col("_matched") | (_salts_of(F.col(on), hot) == 1))
-    return joined.drop("_piece", "_matched")
-
+    return keyed.join(right, on).unionByName(alone, allowMissingColumns=True)

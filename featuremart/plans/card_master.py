@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from featuremart.functions.classes import EXCLUDED_IDS
 from featuremart.functions.cleansing import cleanse_table
 from featuremart.functions.dates import before, local_time
-from featuremart.operators.joins import hot_keys, skew_join
+from featuremart.operators.joins import skew_join
 
 # Length of a user id that is taken as it is; a user with any other is known by the CRM id.
 USER_ID_LENGTH = 7
@@ -28,10 +28,8 @@ def card_owners(holders: DataFrame, persons: DataFrame) -> DataFrame:
     accounts = holders.filter(
         F.col("acc_number").isNotNull() & F.col("id_number").isNotNull()
     ).select(F.col("acc_number").alias("cust_number"), F.md5("id_number").alias("id_hash"))
-    hot = hot_keys(accounts, "id_hash", ["cust_number"])
-    ids = person_ids(persons)
     return (
-        skew_join(accounts.distinct(), ids, "id_hash", "inner", hot, "left", ["cust_number"])
+        skew_join(accounts.distinct(), person_ids(persons), "id_hash", "inner")
         .select("cust_number", "user_id")
         .distinct()
     )
@@ -58,13 +56,11 @@ def card_master(
         .filter(before(F.col("open_date_cc"), cutoff))
     )
     crm_ids = crm.filter(F.col("cust_nmbr").isNotNull()).select(
-        F.col("cust_nmbr").alias("cust_number"), F.col("user_id").alias("crm_id"), "cc_nmbr"
+        F.col("cust_nmbr").alias("cust_number"), F.col("user_id").alias("crm_id")
+    )
+    owners = skew_join(card_owners(holders, persons), crm_ids, "cust_number", "left").select(
+        "cust_number", override_user_id(F.col("user_id"), F.col("crm_id")).alias("user_id")
+    )
+    return skew_join(first_days, owners, "cust_number", "inner").select(
+        "user_id", "acctno_cc", "open_date_cc"
     )
-    owners = skew_join(
-        card_owners(holders, persons), crm_ids, "cust_number", "left",
-        hot_keys(crm_ids, "cust_number", ["crm_id", "cc_nmbr"]), "right", ["crm_id", "cc_nmbr"],
-    ).select("cust_number", override_user_id(F.col("user_id"), F.col("crm_id")).alias("user_id"))
-    hot = hot_keys(cards, "cust_number", ["card_number"])
-    return skew_join(
-        first_days, owners, "cust_number", "inner", hot, "left", ["acctno_cc"]
-    ).select("user_id", "acctno_cc", "open_date_cc")

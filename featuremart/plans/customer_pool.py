@@ -16,7 +16,7 @@ from featuremart.functions.classes import (
 from featuremart.functions.cleansing import int_column
 from featuremart.functions.dates import age_years, before, birth_day
 from featuremart.operators.aggregates import any_flag
-from featuremart.operators.joins import hot_keys, skew_join
+from featuremart.operators.joins import skew_join
 
 
 def account_summary(saving: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def known_income_class(income):
     return F.when(income.isNotNull(), income_class(income))
 
 
-def person_attributes(persons: DataFrame, income_backup: DataFrame, hot: dict) -> DataFrame:
+def person_attributes(persons: DataFrame, income_backup: DataFrame) -> DataFrame:
     """Attributes of every person; income from the second source where the first has none."""
     own = (
         persons.filter(F.col("user_id").isNotNull())
@@ -68,7 +68,7 @@ def person_attributes(persons: DataFrame, income_backup: DataFrame, hot: dict) -
     )
     spread = [c for c in own.columns if c != "user_id"]
     income = F.coalesce("income1", "income2", F.lit(LOWEST_INCOME))
-    return skew_join(own, backup, "user_id", "left", hot, "left", spread).select(
+    return skew_join(own, backup, "user_id", "left").select(
         "user_id", *spread[:-1], income.alias("penghasilan_per_bulan")
     )
 
@@ -86,14 +86,9 @@ def customer_pool(
     A user is inactive when no account of the snapshot is active.
     """
     users = account_summary(saving).filter(before(F.col("open_date_saving"), cutoff))
-    hot = hot_keys(
-        persons.select(F.trim("user_id").alias("user_id"), "tanggal_lahir", "id_number"),
-        "user_id",
-        ["tanggal_lahir", "id_number"],
-    )
-    attributes = person_attributes(persons, income_backup, hot)
+    attributes = person_attributes(persons, income_backup)
     spread = [c for c in attributes.columns if c != "user_id"]
-    described = skew_join(users, attributes, "user_id", "left", hot, "right", spread).select(
+    described = skew_join(users, attributes, "user_id", "left").select(
         *users.columns,
         *spread[:-1],
         F.coalesce("penghasilan_per_bulan", F.lit(LOWEST_INCOME)).alias("penghasilan_per_bulan"),

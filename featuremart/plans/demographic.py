@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from featuremart.functions.classes import ACTIVE, LOAN_TYPES, eligible_saving, region_class
 from featuremart.functions.cleansing import cleanse_table, int_column
 from featuremart.functions.dates import before
+from featuremart.operators.joins import skew_join
 from featuremart.operators.windows import keep_first
 
 
@@ -59,8 +60,9 @@ def demographic_features(
     size limit of the session and shuffles it (splitting a large branch) beyond.
     """
     regions = (
-        first_accounts(saving, cutoff)
-        .join(branch_regions(branch, exclude_regions), "branch")
+        skew_join(
+            first_accounts(saving, cutoff), branch_regions(branch, exclude_regions), "branch", "inner"
+        )
         .select("user_id", F.col("open_date").alias("open_date_saving"), "region")
     )
     return (

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from featuremart.functions.classes import income_entry
 from featuremart.functions.cleansing import as_account_key, as_money, cleanse_table
-from featuremart.operators.joins import hot_keys, skew_join
+from featuremart.operators.joins import skew_join
 from featuremart.operators.snapshots import ledger_range
 
 WINDOW_DAYS = 180
@@ -44,10 +44,9 @@ def user_accounts(saving: DataFrame) -> DataFrame:
 
 def income_by_user(saving: DataFrame, ledger: DataFrame, start: str, end: str) -> DataFrame:
     accounts = user_accounts(saving)
-    hot = hot_keys(accounts, "account", ["user_id"])
     income = income_by_account(ledger, start, end)
     return (
-        skew_join(accounts, income, "account", "inner", hot, "left", ["user_id"])
+        skew_join(accounts, income, "account", "inner")
         .groupBy("user_id")
         .agg(F.sum("income").alias("income"))
     )

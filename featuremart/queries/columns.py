@@ -16,6 +16,7 @@ from featuremart.oracles.parts import (
     occupation,
     region,
 )
+from featuremart.operators.joins import skew_join
 from featuremart.plans.card_master import card_owners, override_user_id
 from featuremart.plans.customer_pool import person_attributes
 from featuremart.queries.registry import query, stamped
@@ -47,7 +48,7 @@ def cleanse_table(bank):
 """)
 def income_two_sources(bank):
     people, backup = bank.view("v_cust_info"), bank.latest("v_cust_info_backup")
-    return person_attributes(people, backup, {}).select("user_id", "penghasilan_per_bulan")
+    return person_attributes(people, backup).select("user_id", "penghasilan_per_bulan")
 
 
 @query("""
@@ -66,7 +67,7 @@ def card_id_override(bank):
     )
     user_id = override_user_id(F.col("user_id"), F.col("crm_id"))
     return (
-        owners.join(crm, "cust_number", "left")
+        skew_join(owners, crm, "cust_number", "left")
         .select("cust_number", user_id.alias("user_id"))
         .distinct()
     )
@@ -115,7 +116,7 @@ def region_class(bank):
     branches = bank.view("v_branch").select(
         "branch", classes.region_class(cleansed(F.col("rgdesc"))).alias("region")
     )
-    return bank.view("v_saving").join(branches, "branch").select("acct_num", "region")
+    return skew_join(bank.view("v_saving"), branches, "branch", "inner").select("acct_num", "region")
 
 
 @query(f"SELECT acct_num, {flag('acct_num')} AS flag FROM v_saving")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from featuremart.functions.cleansing import cleanse_table
-from featuremart.operators.joins import hot_keys, skew_join
+from featuremart.operators.joins import skew_join
 from featuremart.plans.balances import balance_accounts
 from featuremart.plans.card_master import card_owners
 from featuremart.plans.customer_pool import first_open_date
@@ -33,8 +33,7 @@ def join_trim_key(bank):
         .distinct()
     )
     cards = _cards(bank).select("cust_number", "card_number")
-    hot = hot_keys(cards, "cust_number", ["card_number"])
-    return skew_join(cards, holders, "cust_number", "inner", hot, "left", ["card_number"])
+    return skew_join(cards, holders, "cust_number", "inner")
 
 
 @query("""
@@ -58,8 +57,7 @@ def join_left_fanout(bank):
         .select(F.col("cust_nmbr").alias("cust_number"), F.col("user_id").alias("crm_id"))
     )
     cards = _cards(bank).select("cust_number", "card_number")
-    hot = hot_keys(cards, "cust_number", ["card_number"])
-    return skew_join(cards, crm, "cust_number", "left", hot, "left", ["card_number"])
+    return skew_join(cards, crm, "cust_number", "left")
 
 
 @query("""
@@ -85,7 +83,7 @@ def join_composite(bank):
 def join_dimension(bank):
     regions = branch_regions(bank.view("v_branch"))
     accounts = cleanse_table(bank.saving).select("acct_num", "branch")
-    return accounts.join(regions, "branch").select("acct_num", "branch", "region")
+    return skew_join(accounts, regions, "branch", "inner").select("acct_num", "branch", "region")
 
 
 @query("""
@@ -106,8 +104,7 @@ def join_active_loan(bank):
 def join_cast_key(bank):
     income = income_by_account(bank.trx, *bank.income_range)
     return (
-        user_accounts(bank.saving)
-        .join(income, "account")
+        skew_join(user_accounts(bank.saving), income, "account", "inner")
         .select("user_id", "account", F.col("income").cast("double").alias("income"))
     )
 
@@ -123,7 +120,7 @@ def join_cast_key(bank):
 def join_ledger(bank):
     accounts = balance_accounts(bank.saving).select("user_id", "acct_num")
     flows = flows_by_account(bank.trx, *bank.income_range)
-    return accounts.join(flows, "acct_num").select(
+    return skew_join(accounts, flows, "acct_num", "inner").select(
         "user_id", "acct_num", "credit_count", "debit_count"
     )
 
