@@ -14,19 +14,24 @@ from featuremart.operators.aggregates import (
     sum_or_zero,
     with_cells,
 )
-from featuremart.operators.joins import hot_keys, skew_join
+from featuremart.operators.joins import skew_join
 from featuremart.operators.snapshots import ledger_range
 from featuremart.plans.balances import balance_accounts
 
 WINDOW_DAYS = 30
 
 
-def balance_totals(accounts: DataFrame) -> DataFrame:
-    """Active balance per user, without and with deposits."""
-    return with_cells(accounts).groupBy("user_id").agg(
+def balance_measures() -> list[Column]:
+    """Active balance in a group of accounts with cells, without and with deposits."""
+    return [
         sum_or_zero(in_cells(active_cells(CASA_CELLS)), F.col("_amount")).alias("casa_sum"),
         sum_or_zero(in_cells(active_cells(CELLS)), F.col("_amount")).alias("casatd_sum"),
-    )
+    ]
+
+
+def balance_totals(accounts: DataFrame) -> DataFrame:
+    """Active balance per user, without and with deposits."""
+    return with_cells(accounts).groupBy("user_id").agg(*balance_measures())
 
 
 def ledger_entries(ledger: DataFrame, start: str, end: str) -> DataFrame:
@@ -62,16 +67,30 @@ def flows_by_user(
 ) -> DataFrame:
     """The flow measures per user; an account of two users counts for both."""
     owned = accounts.filter(F.col("acct_num").isNotNull()).select("acct_num", "user_id")
-    hot = hot_keys(owned, "acct_num", ["user_id"])
     flows = flows_by_account(ledger, start, end)
     names = [c for c in flows.columns if c != "acct_num"]
     return (
-        skew_join(owned, flows, "acct_num", "inner", hot, "left", ["user_id"])
+        skew_join(owned, flows, "acct_num", "inner")
         .groupBy("user_id")
         .agg(*[F.sum(name).alias(name) for name in names])
     )
 
 
+def totals_by_user(accounts: DataFrame, ledger: DataFrame, start: str, end: str) -> DataFrame:
+    """Balances and flow measures per user from one pass over the accounts.
+
+    The flows come as one row per account, so an account's balance is counted once.
+    """
+    flows = flows_by_account(ledger, start, end)
+    names = [c for c in flows.columns if c != "acct_num"]
+    return (
+        with_cells(accounts)
+        .join(flows, "acct_num", "left")
+        .groupBy("user_id")
+        .agg(*balance_measures(), *[F.sum(name).alias(name) for name in names])
+    )
+
+
 def ratio(part: str, whole: str) -> Column:
     """Quotient of two sums with NULL taken as 0; NULL where the divisor is 0."""
     return F.try_divide(
@@ -84,12 +103,11 @@ def ratio_features(
     pool: DataFrame, saving: DataFrame, ledger: DataFrame, start: str, end: str
 ) -> DataFrame:
     """Two ratios per pool row."""
-    accounts = balance_accounts(saving)
+    totals = totals_by_user(balance_accounts(saving), ledger, start, end)
     return (
         cleanse_table(pool)
         .select("user_id")
-        .join(balance_totals(accounts), "user_id", "left")
-        .join(flows_by_user(accounts, ledger, start, end), "user_id", "left")
+        .join(totals, "user_id", "left")
         .select(
             "user_id",
             ratio("casa_sum", "credit_sum").alias("transaction_ratio_sumcasa_sumtrxcred_na_l30d"),
