@@ -2,19 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from math import log
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featuremart.operators.aggregates import median_by, number_or_null
 
-MAX_LABELS = 1000
 MAX_BROADCAST_ROWS = 100_000
 MAX_MODEL_NODES = 1_000_000
 # Above this size a model is evaluated on Arrow batches, as its expression would outgrow what
@@ -23,15 +23,27 @@ MAX_EXPRESSION_NODES = 500
 
 
 def impute_median(
-    df: DataFrame, columns: Sequence[str], batch: str, batches: int | None = None
+    df: DataFrame, columns: Sequence[str], batch: str | None, batches: int | None = None
 ) -> DataFrame:
     """Replace missing numbers by the median of the row's scoring batch.
 
+    With ``batch`` None the medians are those of all rows, by Spark's exact percentile.
+
     Columns come back as doubles; a batch without any value keeps NULL. A batch has a fixed
     number of rows, so no task holds more values than that. There is one row of medians per
     batch; they are broadcast when the number of ``batches`` is known and small, and are
     joined as Spark sees fit otherwise.
     """
+    if batch is None:
+        whole = df.agg(
+            *[F.median(number_or_null(F.col(c).cast("double"))).alias(f"_median_{c}") for c in columns]
+        )
+        filled = {
+            c: F.coalesce(number_or_null(F.col(c).cast("double")), F.col(f"_median_{c}"))
+            for c in columns
+        }
+        # One row.
+        return df.join(F.broadcast(whole), F.lit(True)).withColumns(filled).select(*df.columns)
     medians = median_by(df, batch, columns).select(
         batch, *[F.col(c).alias(f"_median_{c}") for c in columns]
     )
@@ -42,12 +54,41 @@ def impute_median(
     return out.select(*df.columns)
 
 
-def fit_labels(df: DataFrame, column: str, max_labels: int = MAX_LABELS) -> list[str]:
-    """Distinct labels of a column in code-point order; a label's place is its code."""
-    found = df.select(column).dropna().distinct().limit(max_labels + 1).collect()
-    if len(found) > max_labels:
-        raise ValueError(f"{column} has more than {max_labels} labels")
-    return sorted(row[0] for row in found)
+def fit_labels(df: DataFrame, *columns: str) -> DataFrame:
+    """Table (feature, label, code) of the distinct labels of the columns in code-point order.
+
+    A label's place among those of its column is its code. One task sees the distinct labels of a
+    column, not its rows.
+    """
+    place = F.row_number().over(Window.partitionBy("feature").orderBy("label")) - 1
+    found = [
+        df.select(F.lit(c).alias("feature"), F.col(c).cast("string").alias("label")) for c in columns
+    ]
+    return reduce(DataFrame.unionAll, found).dropna().distinct().withColumn("code", place)
+
+
+def apply_labels(df: DataFrame, fitted: DataFrame, column: str, unseen: str = "error") -> DataFrame:
+    """Replace the labels of a column by their codes from the label table, by a join.
+
+    For encoders of any size; ``encode_labels`` does the same by an expression for small ones.
+    """
+    codes = fitted.filter(F.col("feature") == column).select(
+        F.col("label").alias(column), F.col("code").alias("_code")
+    )
+    joined = df.join(codes, column, "left")
+    code = F.col("_code")
+    if unseen == "keep":
+        # One past the last code; the number of codes is one value, looked up inside the query.
+        size = codes.agg(F.count(F.lit(1)).cast("int")).scalar()
+        code = F.coalesce(code, size)
+    elif unseen == "error":
+        message = F.concat(
+            F.lit("label not seen when fitted: "), F.coalesce(F.col(column), F.lit("NULL"))
+        )
+        code = F.coalesce(code, F.raise_error(message).cast("int"))
+    elif unseen != "null":
+        raise ValueError(f"unseen must be error, null or keep, not {unseen}")
+    return joined.withColumn(column, code).select(*df.columns)
 
 
 def encode_labels(
@@ -98,6 +139,8 @@ class TreeModel:
 
     nodes: tuple[Node, ...]
     base_score: float = 0.5
+    # Compare features with thresholds in single precision, as boosted trees are often trained.
+    single: bool = False
 
     @property
     def margin(self) -> float:
@@ -113,25 +156,30 @@ class TreeModel:
         return sorted({node.feature for node in self.nodes if node.feature})
 
     @classmethod
-    def from_table(cls, df: DataFrame, base_score: float = 0.5) -> TreeModel:
+    def from_table(
+        cls, df: DataFrame, base_score: float = 0.5, single: bool = False
+    ) -> TreeModel:
         """Read the node table of a model; its size is checked before it comes to the driver."""
         names = list(Node.__dataclass_fields__)
         rows = df.select(*names).limit(MAX_MODEL_NODES + 1).collect()
         if len(rows) > MAX_MODEL_NODES:
             raise ValueError(f"model has more than {MAX_MODEL_NODES} nodes")
-        return cls(tuple(Node(**row.asDict()) for row in rows), base_score)
+        return cls(tuple(Node(**row.asDict()) for row in rows), base_score, single)
 
 
-def tree_expression(nodes: Mapping[int, Node], at: int = 0) -> Column:
+def tree_expression(nodes: Mapping[int, Node], at: int = 0, single: bool = False) -> Column:
     """One tree as a nested conditional expression."""
     node = nodes[at]
     if node.feature is None:
         return F.lit(float(node.leaf))
-    value = F.col(node.feature)
+    value = number_or_null(F.col(node.feature).cast("double"))  # NaN is missing, as in batches
+    threshold = F.lit(float(node.threshold))
+    if single:
+        value, threshold = value.cast("float"), threshold.cast("float")
     return (
-        F.when(value.isNull(), tree_expression(nodes, node.missing))
-        .when(value < F.lit(float(node.threshold)), tree_expression(nodes, node.yes))
-        .otherwise(tree_expression(nodes, node.no))
+        F.when(value.isNull(), tree_expression(nodes, node.missing, single))
+        .when(value < threshold, tree_expression(nodes, node.yes, single))
+        .otherwise(tree_expression(nodes, node.no, single))
     )
 
 
@@ -143,7 +191,7 @@ def score_expression(model: TreeModel) -> Column:
     """Probability of class 1 as a native expression, compiled into the scan stage."""
     margin = F.lit(model.margin)
     for nodes in model.trees().values():
-        margin = margin + tree_expression(nodes)
+        margin = margin + tree_expression(nodes, 0, model.single)
     return logistic(margin)
 
 
@@ -151,18 +199,19 @@ def score_in_batches(df: DataFrame, predict, features: Sequence[str], name: str)
     """Append ``predict(values)`` to every row, one Arrow batch at a time.
 
     ``predict`` takes an array of shape (rows, features) with NaN for missing values and gives
-    one probability per row. It reaches every executor once, as a broadcast variable.
+    one probability per row. It reaches every executor once, as a broadcast variable. Only the
+    features leave the JVM; all other columns stay as they are.
     """
     shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(predict))
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         model = cloudpickle.loads(shared.value)
-        for batch in batches:
-            values = batch[list(features)].to_numpy(dtype="float64", na_value=np.nan)
-            yield batch.assign(**{name: model(values)})
+        for columns in batches:
+            values = np.column_stack([c.to_numpy("float64", na_value=np.nan) for c in columns])
+            yield pd.Series(model(values))
 
-    schema = df.withColumn(name, F.lit(0.0)).schema
-    return df.mapInPandas(run, schema)
+    return df.withColumn(name, run(*[F.col(f).cast("double") for f in features]))
 
 
 def tree_predictor(model: TreeModel, features: Sequence[str]):
@@ -176,7 +225,10 @@ def tree_predictor(model: TreeModel, features: Sequence[str]):
         tables.append((
             leaf,
             np.array([0 if node.feature is None else place[node.feature] for node in ordered]),
-            np.array([0.0 if node.feature is None else node.threshold for node in ordered]),
+            np.array(
+                [0.0 if node.feature is None else node.threshold for node in ordered],
+                dtype=np.float32 if model.single else np.float64,
+            ),
             np.array([
                 [row_of[node.yes], row_of[node.no], row_of[node.missing]]
                 if node.feature is not None else [0, 0, 0]
@@ -185,9 +237,10 @@ def tree_predictor(model: TreeModel, features: Sequence[str]):
             np.array([node.leaf if node.feature is None else 0.0 for node in ordered]),
             row_of[0],
         ))
-    start = model.margin
+    start, kind = model.margin, np.float32 if model.single else np.float64
 
     def predict(values: np.ndarray) -> np.ndarray:
+        values = values.astype(kind)
         rows = np.arange(len(values))
         margin = np.full(len(values), start)
         for leaf, feature, threshold, children, weight, root in tables:
@@ -203,7 +256,7 @@ def tree_predictor(model: TreeModel, features: Sequence[str]):
 
 
 def score(df: DataFrame, model: TreeModel, features: Sequence[str], name: str) -> DataFrame:
-    """Score with whichever of the two forms suits the size of the model."""
+    """Score with whichever of the two forms suits the size of the model; both give the same."""
     if len(model.nodes) <= MAX_EXPRESSION_NODES:
         return df.withColumn(name, score_expression(model))
     return score_in_batches(df, tree_predictor(model, features), features, name)

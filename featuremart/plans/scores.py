@@ -58,10 +58,17 @@ def model_inputs(
     batch_size: int = BATCH_SIZE,
     unseen: str = "error",
     batches: int | None = None,
+    medians: str = "batch",
 ) -> DataFrame:
-    """Rows with a region, in batches: numbers without gaps, labels as codes."""
+    """Rows with a region, in batches: numbers without gaps, labels as codes.
+
+    ``medians`` are taken per ``batch`` or over the whole snapshot (``global``).
+    """
+    if medians not in ("batch", "global"):
+        raise ValueError(f"medians must be batch or global, not {medians}")
     rows = dataset.withColumn("batch", batch_of(sequence_of(F.col("id")), batch_size))
-    rows = impute_median(rows.dropna(subset=[REGION]), NUMERIC, "batch", batches)
+    scope = "batch" if medians == "batch" else None
+    rows = impute_median(rows.dropna(subset=[REGION]), NUMERIC, scope, batches)
     return encode_labels(rows, labels, unseen)
 
 
@@ -72,6 +79,8 @@ def model_scores(
     batch_size: int = BATCH_SIZE,
     threshold: float = THRESHOLD,
     rows: int | None = None,
+    unseen: str = "error",
+    medians: str = "batch",
 ) -> DataFrame:
     """Score one snapshot of the dataset, all batches in one job.
 
@@ -79,7 +88,7 @@ def model_scores(
     batch names are.
     """
     total = dataset.count() if rows is None else rows
-    inputs = model_inputs(dataset, labels, batch_size, batches=-(-total // batch_size))
+    inputs = model_inputs(dataset, labels, batch_size, unseen, -(-total // batch_size), medians)
     return score(inputs, model, FEATURES, "pred_proba").select(
         "id",
         "user_id",

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from featuremart.oracles.parts import tree_case
 from featuremart.plans.scores import CATEGORICAL, CLASS_LABELS, NUMERIC, model_scores
 from featuremart.queries.registry import query, rounded, stamped
-from featuremart.sources.bank_model import CARD_MODEL
+from featuremart.sources.bank_model import CARD_MODEL, ENSEMBLE
 
 
 @query("""
@@ -61,18 +61,30 @@ MEDIANS = ", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in NUMERIC)
 FILLED = ", ".join(f"coalesce(CAST(b.{c} AS DOUBLE), m.{c}) AS {c}" for c in NUMERIC)
 
 
-@query(f"""
+def scored(model) -> str:
+    return f"""
     SELECT id, user_id, round(p, 9) AS pred_proba, CAST(p > 0.0187 AS INTEGER) AS is_treat,
            lpad(CAST(batch AS VARCHAR),
                 CAST(length(CAST((SELECT ceil(count(*) / 250.0) FROM dataset) AS INTEGER)
                             ::VARCHAR) AS INTEGER), '0') AS batch
-    FROM (SELECT *, {tree_case(CARD_MODEL)} AS p
+    FROM (SELECT *, {tree_case(model)} AS p
           FROM (SELECT b.id, b.user_id, b.batch, {FILLED},
                        {', '.join(map(_codes, CATEGORICAL))}
                 FROM batches b
                 LEFT JOIN (SELECT batch, {MEDIANS} FROM batches GROUP BY batch) m
                        ON b.batch = m.batch) f) s
-""")
+"""
+
+
+@query(scored(ENSEMBLE))
+def job_scores_ensemble(bank):
+    """The scores of an ensemble of 160 trees over all features, in Arrow batches."""
+    return model_scores(bank.staged_dataset, ENSEMBLE, batch_size=250).select(
+        "id", "user_id", rounded("pred_proba"), F.col("is_treat"), "batch"
+    )
+
+
+@query(scored(CARD_MODEL))
 def job_scores(bank):
     return model_scores(bank.staged_dataset, CARD_MODEL, batch_size=250).select(
         "id", "user_id", rounded("pred_proba"), F.col("is_treat"), "batch"

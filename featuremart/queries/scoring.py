@@ -56,11 +56,10 @@ def impute_median(bank):
     FROM (SELECT DISTINCT o_orderpriority FROM orders) o
 """)
 def label_encode_fit(bank):
-    fitted = {
-        "type": scoring.fit_labels(bank.view("v_saving"), "type"),
-        "priority": scoring.fit_labels(bank.table("orders"), "o_orderpriority"),
-    }
-    return scoring.label_table(bank.spark, fitted)
+    priority = bank.table("orders").select(F.col("o_orderpriority").alias("priority"))
+    return scoring.fit_labels(bank.view("v_saving"), "type").union(
+        scoring.fit_labels(priority, "priority")
+    )
 
 
 @query("""
@@ -71,7 +70,7 @@ def label_encode_fit(bank):
 """)
 def label_encode_apply(bank):
     rows = bank.view("v_saving").select("acct_num", "type")
-    return scoring.encode_labels(rows, {"type": scoring.fit_labels(rows, "type")})
+    return scoring.apply_labels(rows, scoring.fit_labels(rows, "type"), "type")
 
 
 SCORED = f"""

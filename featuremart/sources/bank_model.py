@@ -6,6 +6,7 @@ Columns: tree, node, feature, threshold, yes, no, missing, leaf.
 from __future__ import annotations
 
 from featuremart.operators.scoring import Node, TreeModel
+from featuremart.plans.dataset import FEATURES
 
 # Works on the features of the inference dataset; labels are codes.
 CARD_MODEL = TreeModel(
@@ -33,6 +34,37 @@ CARD_MODEL = TreeModel(
     )
 )
 
+
+
+def ensemble(trees: int, depth: int = 3) -> TreeModel:
+    """An ensemble over all features of the jobs, of the size a trained one has.
+
+    Splits and leaves follow from the numbers of tree and node, so it is the same in every run.
+    """
+    nodes = []
+    for tree in range(trees):
+        for node in range(2 ** (depth + 1) - 1):
+            mix = (tree * 31 + node * 17 + 7) % 97
+            if node >= 2**depth - 1:
+                nodes.append(Node(tree, node, None, None, None, None, None, (mix - 52) / 1000))
+                continue
+            feature = FEATURES[(tree * 5 + node * 3) % len(FEATURES)]
+            scale = SCALES.get(feature, 6.0)
+            yes, no = 2 * node + 1, 2 * node + 2
+            nodes.append(
+                Node(tree, node, feature, scale * mix / 97, yes, no, yes if mix % 2 else no, None)
+            )
+    return TreeModel(tuple(nodes))
+
+
+# Spread of the features that are not codes.
+SCALES = {
+    "demog_personal_usia_na_na": 90.0, "saving_casa_aktif_sum_na": 800000.0,
+    "ddhist_na_income_sum_180d": 200000.0, "transaction_ratio_sumcasa_sumtrxcred_na_l30d": 20.0,
+    "transaction_ratio_sumcasatd_sumtrxdeb_na_l30d": 20.0,
+}
+ENSEMBLE = ensemble(160)
+
 # Works on the two totals of the portfolio rollup.
 BALANCE_MODEL = TreeModel(
     tuple(
