@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.operators.scratch import stage
+from featuremart.operators.snapshots import list_partitions
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -50,7 +52,21 @@ def drop_partition(spark: SparkSession, table: str, **values: str) -> None:
 
 
 def _spec(values: dict[str, str]) -> str:
-    return ", ".join(f"{name}='{value}'" for name, value in values.items())
+    quoted = {n: v.replace("\\", "\\\\").replace("'", "\\'") for n, v in values.items()}
+    return ", ".join(f"{name}='{value}'" for name, value in quoted.items())
+
+
+@contextmanager
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def write_snapshot(
@@ -67,37 +83,52 @@ def write_snapshot(
     """Replace one snapshot of a catalog table and tell whether anything was written.
 
     With ``batch`` one (ds, batch) partition is replaced. Without it the whole snapshot is; a
-    column ``batch`` in ``df`` then spreads it over batch partitions, all in one job (in the
-    session's static overwrite mode, the default, batches of an earlier run go as well). The
-    table is made when it is not there yet.
+    column ``batch`` in ``df`` then spreads it over batch partitions, all in one job, and batches of
+    an earlier run that the result lacks are dropped. The table is made when it is not there yet. A
+    result whose columns are not those of the table is an error.
+
+    The write always runs in dynamic overwrite mode, whatever the session's: rows go to a staging
+    folder and replace the partitions when the job commits, so a failed run leaves the old
+    snapshot as it was. A result without rows empties the snapshot.
 
     ``rebalance`` lets Spark size the files from what the shuffle measured (set the size with
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and split a partition that is too
     large; no trial run is needed. Turn it off to keep rows in the order they come in.
     """
     spark = df.sparkSession
-    if skip_if_empty:
-        # Written once to scratch: looking for a first row must not run the whole plan twice.
-        df = stage(df, "checked")
-        if df.isEmpty():
-            return False
     in_batches = batch is not None or "batch" in df.columns
+    spread = in_batches and batch is None
+    if rebalance:
+        # Written once to scratch: looking at the rows must not run the whole plan twice.
+        df = stage(df, "checked")
+    is_empty = df.isEmpty()
+    if skip_if_empty and is_empty:
+        return False
     partitions = ["ds", "batch"] if in_batches else ["ds"]
     out = audit_columns(df, ds, modified, batch)
-    if rebalance:
-        out = out.hint("rebalance", *([F.col("batch")] if batch is None and in_batches else []))
     if not spark.catalog.tableExists(table):
         empty = out.filter(F.lit(False)).write.partitionBy(*partitions).format("parquet")
         (empty.option("path", location) if location else empty).saveAsTable(table)
+    columns = spark.table(table).columns
+    if set(columns) != set(out.columns):
+        odd = sorted(set(columns) ^ set(out.columns))
+        raise ValueError(f"{table} and the result differ in the columns {odd}")
     fixed = {"ds": ds} if batch is None else {"ds": ds, "batch": batch}
-    free = [name for name in partitions if name not in fixed]
-    columns = [c for c in spark.table(table).columns if c not in fixed]
-    spark.sql(
-        f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join([_spec(fixed), *free])}) "
-        "SELECT * FROM {rows}",
-        rows=out.select(*columns),
-    )
+    out = out.select(*columns)
+    if rebalance:
+        out = out.hint("rebalance", *([F.col("batch")] if spread else []))
+    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+        out.write.insertInto(table, overwrite=True)
+    if spread:
+        kept = {row.batch for row in df.select("batch").distinct().collect()}
+        for old in list_partitions(spark, table) or ():
+            if old["ds"] == ds and old["batch"] not in kept:
+                drop_partition(spark, table, **old)
+    elif is_empty:
+        drop_partition(spark, table, **fixed)
+        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({_spec(fixed)})")
     if statistics:
+        free = [name for name in partitions if name not in fixed]
         for_partitions = ", ".join([_spec(fixed), *free])
         spark.sql(f"ANALYZE TABLE {table} PARTITION ({for_partitions}) COMPUTE STATISTICS")
     return True
