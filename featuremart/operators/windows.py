@@ -26,28 +26,24 @@ def keep_first(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, by: Sequence[str], name: str = "row_number", sizes_from: DataFrame | None = None
+    df: DataFrame, by: Sequence[str], name: str = "row_number", ties: Sequence[str] = ()
 ) -> DataFrame:
     """Number the rows 1..n without passing them through one task.
 
-    The order is that of a hash of the columns ``by``, which must tell the rows apart: as
-    mixed as a random order, yet the same in every run. Rows are numbered inside buckets of
-    the hash; each bucket starts where the sizes of the buckets before it end. ``sizes_from``
-    may name a cheaper DataFrame with the same values of ``by``.
+    The order is that of a hash of the columns ``by``: as mixed as a random order, yet the same
+    in every run; rows alike in those follow the columns ``ties``. Together they must tell the rows
+    apart. Rows are numbered inside buckets of the hash; each bucket starts where the sizes of the
+    buckets before it end.
     """
     order_hash = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in by]))
     bucket = F.substring(order_hash, 1, BUCKET_DIGITS)
-    sizes = (
-        (df if sizes_from is None else sizes_from)
-        .groupBy(bucket.alias("_bucket"))
-        .agg(F.count(F.lit(1)).alias("_size"))
-    )
+    sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_size"))
     # This window sees one row per bucket, 4096 at most.
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(
         "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start")
     )
-    inside = Window.partitionBy("_bucket").orderBy("_hash", *by)
+    inside = Window.partitionBy("_bucket").orderBy("_hash", *by, *ties)
     return (
         df.withColumns({"_hash": order_hash, "_bucket": bucket})
         .withColumn("_place", F.row_number().over(inside))
@@ -57,18 +53,18 @@ def number_rows(
     )
 
 
-def row_id(ds: str, sequence: Column, source: str = "02") -> Column:
-    """Id of 19 characters: snapshot, source code, sequence number of nine digits."""
-    fits = sequence < F.lit(10**SEQUENCE_DIGITS)
-    digits = F.when(fits, F.lpad(sequence.cast("string"), SEQUENCE_DIGITS, "0")).otherwise(
-        F.raise_error(F.lit("more rows than an id of nine digits can number"))
+def row_id(ds: str, sequence: Column, source: str = "02", width: int = SEQUENCE_DIGITS) -> Column:
+    """Id: snapshot, source code, sequence number of ``width`` digits (19 characters in all)."""
+    fits = sequence < F.lit(10**width)
+    digits = F.when(fits, F.lpad(sequence.cast("string"), width, "0")).otherwise(
+        F.raise_error(F.lit(f"more rows than an id of {width} digits can number"))
     )
     return F.concat(F.lit(ds), F.lit(source), digits)
 
 
-def sequence_of(row_id_column: Column) -> Column:
+def sequence_of(row_id_column: Column, width: int = SEQUENCE_DIGITS) -> Column:
     """Sequence number inside an id."""
-    return F.substring(row_id_column, -SEQUENCE_DIGITS, SEQUENCE_DIGITS).cast("int")
+    return F.substring(row_id_column, -width, width).cast("bigint")
 
 
 def batch_of(sequence: Column, batch_size: int) -> Column:

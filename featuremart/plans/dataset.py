@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.functions.cleansing import cleanse_table
+from featuremart.operators.scratch import stage
 from featuremart.operators.windows import number_rows, row_id
 
+# Names of the features.
 DEMOGRAPHIC = (
     "demog_personal_usia_na_na",
     "demog_personal_pendidikan_na_na",
@@ -26,11 +28,9 @@ RATIOS = (
 FEATURES = DEMOGRAPHIC + PORTFOLIO + INCOME + RATIOS
 
 
-def one_row_per_user(mart: DataFrame, features: tuple[str, ...]) -> DataFrame:
-    """A mart whose rows of one user are all alike, with one row per user."""
-    return (
-        cleanse_table(mart).groupBy("user_id").agg(*[F.max(name).alias(name) for name in features])
-    )
+def distinct_rows(mart: DataFrame, features: tuple[str, ...]) -> DataFrame:
+    """The different rows of a mart; a user whose rows differ keeps all of them."""
+    return cleanse_table(mart).select("user_id", *features).distinct()
 
 
 def candidates(pool: DataFrame, demographic: DataFrame) -> DataFrame:
@@ -58,11 +58,11 @@ def assemble_features(
     """
     out = candidates(pool, demographic)
     for mart, features in ((portfolio, PORTFOLIO), (income, INCOME), (ratios, RATIOS)):
-        out = out.join(one_row_per_user(mart, features), "user_id", "left")
+        out = out.join(distinct_rows(mart, features), "user_id", "left")
     amounts = [
         F.coalesce(F.col(name), F.lit(0)).alias(name) for name in PORTFOLIO + INCOME + RATIOS
     ]
-    return out.select("user_id", *DEMOGRAPHIC, *amounts)
+    return out.select("user_id", *DEMOGRAPHIC, *amounts).distinct()
 
 
 def inference_dataset(
@@ -75,14 +75,12 @@ def inference_dataset(
 ) -> DataFrame:
     """The assembled features with an id per row. Every input holds one snapshot.
 
-    Rows differ in the user or the demographic features, so those decide the numbering. Each
-    partition comes out sorted by id and holds whole ranges of ids.
+    The numbering follows the user and the demographic features, then the amounts: all columns,
+    which tell the rows apart. It reads the rows twice, so they are written once before. Each partition comes out sorted by id and holds whole ranges of ids.
     """
-    by = ["user_id", *DEMOGRAPHIC]
+    rows = stage(assemble_features(pool, demographic, portfolio, income, ratios), "assembled")
     numbered = number_rows(
-        assemble_features(pool, demographic, portfolio, income, ratios),
-        by,
-        sizes_from=candidates(pool, demographic).select(*by),
+        rows, ["user_id", *DEMOGRAPHIC], ties=PORTFOLIO + INCOME + RATIOS
     )
     return numbered.select(
         row_id(ds, F.col("row_number")).alias("id"), "user_id", *FEATURES
