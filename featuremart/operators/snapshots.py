@@ -2,13 +2,9 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.params import compact
-
 HIVE_NULL = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -65,34 +61,25 @@ def latest_snapshot(df: DataFrame, column: str = "ds") -> str:
     return found
 
 
-def nearest_snapshot(
-    df: DataFrame, upto: str, max_lookback_days: int = 31, column: str = "ds"
-) -> str:
-    """Latest non-empty snapshot at or before ``upto``, looking back a bounded time.
-
-    One aggregate over the snapshot column of the days in question answers this.
-    """
-    floor = compact(datetime.strptime(upto, "%Y%m%d") - timedelta(days=max_lookback_days))
-    found = df.filter(F.col(column).between(floor, upto)).agg(F.max(column)).first()[0]
+def nearest_snapshot(df: DataFrame, upto: str, column: str = "ds") -> str:
+    """Latest non-empty snapshot at or before ``upto``; reads the snapshot column only."""
+    found = df.filter(F.col(column) <= upto).agg(F.max(column)).first()[0]
     if found is None:
-        raise NoSnapshot(f"no snapshot from {floor} to {upto}")
+        raise NoSnapshot(f"no snapshot up to {upto}")
     return found
 
 
-def nearest_partition(
-    spark: SparkSession, table: str, upto: str, max_lookback_days: int = 31
-) -> str:
+def nearest_partition(spark: SparkSession, table: str, upto: str) -> str:
     """``nearest_snapshot`` for a catalog table.
 
     The catalog names the candidates; the newest one that holds a row is taken, which as a
     rule is the first one looked into.
     """
-    floor = compact(datetime.strptime(upto, "%Y%m%d") - timedelta(days=max_lookback_days))
     names = {found["ds"] for found in list_partitions(spark, table) or ()}
-    for name in sorted((n for n in names if floor <= n <= upto), reverse=True):
+    for name in sorted((n for n in names if n <= upto), reverse=True):
         if not snapshot(spark.read.table(table), name).isEmpty():
             return name
-    raise NoSnapshot(f"{table} has no snapshot from {floor} to {upto}")
+    raise NoSnapshot(f"{table} has no snapshot up to {upto}")
 
 
 def snapshot(df: DataFrame, ds: str, column: str = "ds") -> DataFrame:

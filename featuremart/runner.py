@@ -20,7 +20,6 @@ from featuremart.operators.scoring import TreeModel, labels_from_table
 from featuremart.operators.sinks import write_snapshot
 from featuremart.operators.snapshots import (
     NoSnapshot,
-    latest_partition,
     list_partitions,
     nearest_partition,
     snapshot,
@@ -32,7 +31,7 @@ from featuremart.plans.customer_pool import customer_pool
 from featuremart.plans.dataset import inference_dataset
 from featuremart.plans.demographic import demographic_features
 from featuremart.plans.portfolio import portfolio_features
-from featuremart.plans.scores import CLASS_LABELS, model_scores
+from featuremart.plans.scores import model_scores
 from featuremart.session import build_session
 from featuremart.sources.catalog import MART_TABLES, read, table_name
 
@@ -56,9 +55,17 @@ class Run:
     def whole(self, role: str) -> DataFrame:
         return read(self.spark, role, self.names)
 
-    def latest(self, role: str) -> DataFrame:
-        found = latest_partition(self.spark, table_name(role, self.names))
-        return snapshot(self.whole(role), found["ds"])
+    def latest(self, role: str, upto: str | None = None) -> DataFrame:
+        """The newest snapshot at or before the run's, so a repeated run reads what it read."""
+        name = table_name(role, self.names)
+        return snapshot(
+            self.whole(role), nearest_partition(self.spark, name, upto or self.params.ds)
+        )
+
+    def own(self, role: str) -> DataFrame:
+        """The snapshot of this run."""
+        self.require((role,))
+        return snapshot(self.whole(role), self.params.ds)
 
     def saving(self) -> DataFrame:
         name = table_name("saving", self.names)
@@ -93,10 +100,10 @@ def _pool(run: Run) -> DataFrame:
     )
 
 
-def _demographic(run: Run) -> DataFrame:
+def _demographic(run: Run, **options) -> DataFrame:
     return demographic_features(
         run.latest("pool"), run.saving(), run.whole("branch"), run.latest("loan"),
-        run.params.cutoff,
+        run.params.cutoff, **options,
     )
 
 
@@ -119,13 +126,13 @@ def _ratios(run: Run) -> DataFrame:
 
 
 def _dataset(run: Run) -> DataFrame:
-    run.require(FEATURE_MARTS)
+    run.require(("pool", *FEATURE_MARTS))
     return inference_dataset(
-        *[run.latest(role) for role in ("pool", *FEATURE_MARTS)], run.params.ds
+        *[run.own(role) for role in ("pool", *FEATURE_MARTS)], run.params.ds
     )
 
 
-JOBS: dict[str, Callable[[Run], DataFrame]] = {
+JOBS: dict[str, Callable[..., DataFrame]] = {
     "card_master": _card_master,
     "pool": _pool,
     "demographic": _demographic,
@@ -149,8 +156,9 @@ def run_job(
 ) -> bool:
     """Build one mart and replace its snapshot. Tell whether anything was written.
 
-    All jobs but the card holder master do nothing except on run days, unless forced. Scores
-    are written under the snapshot of the dataset they belong to.
+    All jobs but the card holder master do nothing except on run days, unless forced.
+    ``options`` go to the scores (``unseen``, ``medians``, ``batch_size``, ``threshold``) or to the
+    demographic features (``exclude_regions``).
     """
     run = Run(spark, run_date, names)
     if job != "card_master" and not (run.params.is_run_day or force):
@@ -158,16 +166,13 @@ def run_job(
     table = table_name(job, names)
     modified = modified or datetime.now(BANK_TIME)
     if job == "scores":
-        if model is None:
-            raise ValueError("scores need a model")
-        ds = latest_partition(spark, table_name("dataset", names))["ds"]
-        result = model_scores(
-            snapshot(run.whole("dataset"), ds), model, labels or CLASS_LABELS, **options
-        )
-        return write_snapshot(result, table, ds, modified)
+        if model is None or labels is None:
+            raise ValueError("scores need a model and the labels its encoders were fitted on")
+        result = model_scores(run.own("dataset"), model, labels, **options)
+        return write_snapshot(result, table, run.params.ds, modified)
     ds = run.params.card_ds if job == "card_master" else run.params.ds
     return write_snapshot(
-        JOBS[job](run),
+        JOBS[job](run, **options),
         table,
         ds,
         modified,
@@ -185,9 +190,17 @@ def main() -> None:
     )
     parser.add_argument("--model", help="node table of the model")
     parser.add_argument("--labels", help="label table of the encoders")
+    parser.add_argument("--unseen", choices=["error", "null", "keep"], default="error")
+    parser.add_argument("--medians", choices=["batch", "global"], default="batch")
+    parser.add_argument("--exclude-region", action="append", default=[])
     parser.add_argument("--force", action="store_true", help="run on any day")
     args = parser.parse_args()
     spark = build_session(app=f"featuremart {args.job}")
+    options = {}
+    if args.job == "scores":
+        options = {"unseen": args.unseen, "medians": args.medians}
+    elif args.job == "demographic" and args.exclude_region:
+        options = {"exclude_regions": args.exclude_region}
     written = run_job(
         spark,
         args.job,
@@ -195,6 +208,7 @@ def main() -> None:
         model=TreeModel.from_table(spark.read.table(args.model)) if args.model else None,
         labels=labels_from_table(spark.read.table(args.labels)) if args.labels else None,
         force=args.force,
+        **options,
     )
     print(f"{args.job} {args.date}: {'written' if written else 'nothing to write'}")
 
