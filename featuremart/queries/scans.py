@@ -1,15 +1,26 @@
 """Scans, partition lookup, snapshot and range selection."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from featuremart.functions.cleansing import cleanse_table
 from featuremart.operators import sinks, snapshots
+from featuremart.operators.scratch import scratch_path
 from featuremart.operators.sinks import partition_rows
 from featuremart.params import run_params_columns
 from featuremart.queries.registry import query, stamped
 from featuremart.sources.bank_views import PARAMS
 
 
+def partitioned(bank, df, *columns):
+    """Name of a catalog table in the scratch folder with the rows of ``df``."""
+    name = f"featuremart_partitioned_{uuid.uuid4().hex}"
+    writer = df.repartition(*columns).write.partitionBy(*columns).format("parquet")
+    writer.option("path", scratch_path(bank.spark, "partitioned")).saveAsTable(name)
+    return name
+
+
 @query("""
     SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders
 """)
@@ -19,12 +30,23 @@ def scan_table(bank):
     )
 
 
+@query("""
+    SELECT DISTINCT concat('year=', year, '/month=', month) AS partition, year, month FROM v_trx
+""")
+def list_partitions(bank):
+    """What the catalog lists; the data are not read for it."""
+    table = partitioned(bank, bank.trx.select("tr_acc", "year", "month"), "year", "month")
+    found = snapshots.list_partitions(bank.spark, table)
+    rows = [("/".join(f"{k}={v}" for k, v in f.items()), *f.values()) for f in found]
+    return bank.spark.createDataFrame(rows, "partition string, year string, month string")
+
+
 @query("""
     SELECT DISTINCT concat('year=', year, '/month=', month, '/day=', day) AS partition,
            year, month, day
     FROM v_trx
 """)
-def list_partitions(bank):
+def partition_values(bank):
     return snapshots.partition_values(bank.trx, "year", "month", "day").orderBy(
         F.desc("partition")
     )
@@ -35,10 +57,36 @@ def list_partitions(bank):
     WHERE ds = (SELECT max(ds) FROM v_loan) GROUP BY ds
 """)
 def latest_partition(bank):
+    table = partitioned(bank, bank.view("v_loan"), "ds")
+    found = snapshots.latest_partition(bank.spark, table)["ds"]
+    return partition_rows(snapshots.snapshot(bank.spark.read.table(table), found), "ds")
+
+
+@query("""
+    SELECT ds, count(*) AS row_count FROM v_loan
+    WHERE ds = (SELECT max(ds) FROM v_loan) GROUP BY ds
+""")
+def latest_snapshot(bank):
     loans = bank.view("v_loan")
     return partition_rows(snapshots.snapshot(loans, snapshots.latest_snapshot(loans)), "ds")
 
 
+@query("""
+    SELECT ds, count(*) AS row_count FROM v_saving
+    WHERE ds = (SELECT max(ds) FROM v_saving WHERE ds <= '20010614') GROUP BY ds
+""")
+def nearest_partition(bank):
+    table = partitioned(bank, bank.view("v_saving"), "ds")
+    found = snapshots.nearest_partition(bank.spark, table, "20010614")
+    return partition_rows(snapshots.snapshot(bank.spark.read.table(table), found), "ds")
+
+
+@query("SELECT user_id, type, ds FROM v_loan")
+def scan_catalog_table(bank):
+    table = partitioned(bank, bank.view("v_loan"), "ds")
+    return bank.spark.read.table(table).select("user_id", "type", "ds")
+
+
 @query("""
     SELECT ds, count(*) AS row_count FROM v_saving
     WHERE ds = (SELECT max(ds) FROM v_saving WHERE ds <= '20010614') GROUP BY ds
