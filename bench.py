@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -50,6 +51,7 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

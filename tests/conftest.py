@@ -22,6 +22,7 @@ def spark():
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",
             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="run-"),
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

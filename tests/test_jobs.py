@@ -6,6 +6,8 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from featuremart.operators.scratch import stage
+from featuremart.operators.sinks import write_snapshot
 from featuremart.operators.snapshots import NoSnapshot
 from featuremart.plans.card_master import card_master
 from featuremart.plans.customer_pool import customer_pool
@@ -256,6 +258,24 @@ def test_user_listed_twice_is_not_multiplied(bank, marts):
     assert rows(assemble_features(*doubled)) == rows(assemble_features(*marts))
 
 
+def test_user_with_differing_rows_keeps_them(spark, bank, marts):
+    """Two rows of a mart stay two rows; none is made up of their maxima."""
+    pool, demographic, portfolio, income, ratios = marts
+    user = bank.staged_dataset.select("user_id").first().user_id
+    amounts = [(1, 900.0), (7, 10.0)]
+    two = spark.createDataFrame(
+        [(user, *a) for a in amounts],
+        "user_id string, saving_casa_aktif_count_na bigint, saving_casa_aktif_sum_na double",
+    ).select(*[F.col(n).cast(t) for n, t in portfolio.dtypes])
+    changed = stage(portfolio.filter(F.col("user_id") != user).union(two), "two")
+    got = assemble_features(pool, demographic, changed, income, ratios).filter(F.col("user_id") == user)
+    names = [c for c in got.columns if c.startswith("saving")]
+    assert {tuple(map(float, r)) for r in got.select(*names).collect()} == {(1.0, 900.0), (7.0, 10.0)}
+    dataset = inference_dataset(pool, demographic, changed, income, ratios, "20010620")
+    ids = sorted(int(r.id[-9:]) for r in dataset.select("id").collect())
+    assert ids == list(range(1, bank.staged_dataset.count() + got.count()))
+
+
 def test_dataset_files_are_sorted_ranges(bank, spark):
     spread = bank.dataset.select("id", F.spark_partition_id().alias("p")).collect()
     parts = {}
@@ -307,8 +327,18 @@ def test_all_jobs_on_catalog_tables(spark, bank):
         assert rows(written.select(df.columns)) == rows(df), job
         assert written.columns[-2:] == ["modified_date", "ds"]
     for _ in range(2):
-        run_job(spark, "scores", RUN_DATE, model=CARD_MODEL, batch_size=50)
+        run_job(spark, "scores", RUN_DATE, model=CARD_MODEL, labels=CLASS_LABELS, batch_size=50)
     scores = model_scores(bank.staged_dataset, CARD_MODEL, batch_size=50)
     assert rows(spark.table(MART_TABLES["scores"]).select(scores.columns)) == rows(scores)
+    with pytest.raises(ValueError, match="labels"):
+        run_job(spark, "scores", RUN_DATE, model=CARD_MODEL)
+    # A later snapshot of a mart does not change what a repeated run reads.
+    for role in ("pool", "card_master"):
+        later = spark.table(MART_TABLES[role]).limit(1).drop("ds", "modified_date")
+        write_snapshot(stage(later, role), MART_TABLES[role], "20010706", datetime(2001, 7, 6))
+    for job in ("pool", "portfolio", "dataset"):
+        assert run_job(spark, job, RUN_DATE)
+        written = spark.table(MART_TABLES[job]).filter("ds = '20010620'")
+        assert rows(written.select(expected[job].columns)) == rows(expected[job]), job
     partitions = spark.sql(f"SHOW PARTITIONS {MART_TABLES['scores']}").collect()
     assert partitions[0].partition == "ds=20010620/batch=1"
