@@ -17,6 +17,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession
 
 from featuremart.operators.scoring import TreeModel, labels_from_table
+from featuremart.operators.scratch import scratch_scope
 from featuremart.operators.sinks import write_snapshot
 from featuremart.operators.snapshots import (
     NoSnapshot,
@@ -157,9 +158,15 @@ def run_job(
     """Build one mart and replace its snapshot. Tell whether anything was written.
 
     All jobs but the card holder master do nothing except on run days, unless forced.
+    What is staged on the way is deleted at the end.
     ``options`` go to the scores (``unseen``, ``medians``, ``batch_size``, ``threshold``) or to the
     demographic features (``exclude_regions``).
     """
+    with scratch_scope(spark):
+        return _run_job(spark, job, run_date, names, model, labels, force, modified, options)
+
+
+def _run_job(spark, job, run_date, names, model, labels, force, modified, options) -> bool:
     run = Run(spark, run_date, names)
     if job != "card_master" and not (run.params.is_run_day or force):
         return False

@@ -1,3 +1,4 @@
+import os
 import random
 from collections import Counter
 from dataclasses import replace
@@ -36,7 +37,7 @@ from featuremart.operators.scoring import (
     treat_flag,
     tree_predictor,
 )
-from featuremart.operators.scratch import scratch_dir, stage
+from featuremart.operators.scratch import scratch_dir, scratch_scope, stage
 from featuremart.operators.sinks import write_snapshot
 from featuremart.operators.windows import (
     batch_name,
@@ -532,3 +533,12 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(Session())
+
+
+def test_scope_deletes_what_was_staged_in_it(spark):
+    outside = stage(spark.range(3), "outside")
+    with scratch_scope(spark):
+        inside = stage(spark.range(3), "inside")
+        folder = inside.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder) and inside.count() == 3
+    assert not os.path.exists(folder) and outside.count() == 3
