@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.operators.scratch import scratch_path
+from featuremart.operators.scratch import forget, scratch_path
 
 WORD = r"[^\x20\x09-\x0D]+"
 NO_ID = -(2**63)
@@ -36,12 +36,6 @@ def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
-def forget(spark: SparkSession, path: str) -> None:
-    """Delete a staged folder that nothing reads any more."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Smallest node that each node of ``edges`` (a, b: long) reaches; columns node, component.
 

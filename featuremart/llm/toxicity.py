@@ -12,7 +12,7 @@ rows that hold a listed word, ``unlisted`` toxic rows that hold none (other word
 and ``toxic`` is the label. A document is rejected if the chance of the last category reaches the
 threshold.
 
-Edge cases. A null text counts as empty. Labels that are null, and labels of unknown documents, are
+Edge cases. A null text counts as empty. A text without any feature of the models is never rejected. Labels that are null, and labels of unknown documents, are
 not used; of repeated labels the largest counts. With no labelled rows, or labels of one value,
 the models are constant. Repeated rows get the same scores. An empty table gives no rows. Other
 columns pass through untouched.
@@ -123,10 +123,12 @@ def scored(docs: DataFrame, models: Sequence[Linear], threshold: float = THRESHO
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         features = Features(word_features, {i for m in models for i in m.weights})
         for texts in batches:
-            out = [chain_chances(models, features(tokens(t))) for t in texts]
-            yield pd.DataFrame(
-                [(*p, p[-1] >= threshold) for p in out], columns=[f.name for f in schema.fields]
-            )
+            out = []
+            for text in texts:
+                ids = features(tokens(text))
+                chances = chain_chances(models, ids)
+                out.append((*chances, bool(ids) and chances[-1] >= threshold))
+            yield pd.DataFrame(out, columns=[f.name for f in schema.fields])
 
     return docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), score("text").alias("scores")
