@@ -1,12 +1,15 @@
 """Every registered query against its oracle, and rules all of them keep."""
 
+import os
+
 import pytest
-from conftest import SF_DIR
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry_points
 from featuremart.queries import ORACLES, QUERIES
 
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
 
 @pytest.fixture(scope="module")
 def duck():
