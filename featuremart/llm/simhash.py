@@ -221,9 +221,14 @@ def one_of_each(docs: DataFrame, words: int = 3) -> DataFrame:
 
     Of several rows that carry the smallest id of a component, one stays.
     """
+    return first_of(docs, classes(docs, words))
+
+
+def first_of(docs: DataFrame, named: DataFrame) -> DataFrame:
+    """One document of each component (id, text_hash, root, first)."""
     best = Window.partitionBy("root").orderBy("id", "text_hash")
     kept = (
-        classes(docs, words)
+        named
         .select("id", "text_hash", "root", F.col("id").eqNullSafe(
             F.coalesce("first", F.lit(NO_ID))).alias("is_first"))
         .filter("is_first")
