@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 
 from featuremart.llm.linear import EDGES, Features, Linear, fit, tokens, word_features
 
-MAX_ROWS = 2000
+MAX_ROWS = 3000
 FOLDS = 3
 THRESHOLD = 0.5
 # Words that name a category.
@@ -38,7 +38,7 @@ INSULT = ("clown", "idiot", "loser", "moron", "stupid")
 CONTEMPT = ("disgusting", "pathetic", "scum", "trash", "worthless")
 CATEGORIES = ("insult", "contempt", "unlisted", "toxic")
 ROW = T.StructType([
-    T.StructField("features", T.ArrayType(T.IntegerType())),
+    T.StructField("features", T.BinaryType()),  # sorted int32; as an array each number is an object on the driver
     *[T.StructField(c, T.IntegerType()) for c in CATEGORIES],
 ])
 
@@ -66,7 +66,7 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = MAX_ROWS, seed: int
         features = Features(word_features)
         for texts, toxic in batches:
             yield pd.DataFrame(
-                [(sorted(features(tokens(t))), *categories(t, int(y)))
+                [(np.sort(np.fromiter(features(tokens(t)), "<i4")).tobytes(), *categories(t, int(y)))
                  for t, y in zip(texts, toxic, strict=True)], columns=["features", *CATEGORIES],
             )
 
@@ -110,7 +110,7 @@ def chain_chances(models: Sequence[Linear], ids: set[int]) -> list[float]:
 
 def train(docs: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> list[Linear]:
     found = labelled(docs, labels, most).orderBy("doc_id").toPandas()  # bounded by 2 * most rows
-    rows = [np.array(f, dtype=np.int32) for f in found.pop("features")]
+    rows = [np.frombuffer(f, dtype="<i4") for f in found.pop("features")]
     return fit_chain(rows, found[list(CATEGORIES)].to_numpy(dtype=np.float64).reshape(-1, len(CATEGORIES)))
 
 

@@ -54,3 +54,11 @@ def test_edge_rows(spark, documents):
     assert toxicity.toxicity(docs.limit(0), labels).count() == 0
     assert toxicity.clean(docs, labels.limit(0)).count() == docs.count()
     assert toxicity.clean(docs, labels.filter("toxic = 0")).count() == docs.count()
+
+
+def test_sample_holds_three_thousand_rows_of_each_label(spark):
+    docs = spark.range(7000).selectExpr("id as doc_id", "concat('word w', id) as text")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    found = toxicity.labelled(docs, labels)
+    assert {r.toxic: r["count"] for r in found.groupBy("toxic").count().collect()} == {0: 3000, 1: 3000}
+    assert dict(found.dtypes)["features"] == "binary"
