@@ -11,7 +11,8 @@ its lines recur, so documents are told apart by a signature, the least and the g
 tree leaves of their lines: copies, and most near copies, have the same one and count once. Lines of a
 recurring template are dropped from all documents but the first that has it (smallest doc_id);
 within a document nothing is dropped for being repeated there. Lines of fewer than ``min_tokens``
-tokens are left alone.
+tokens are left alone. With ``long_docs`` the whole template of a line of more than LONG_TOKENS tokens
+recurs from that many documents on; the query, whose SQL counts all alike, does without.
 
 A busy template sends one row per task and signature to the count. Occurrences meet the recurring
 templates in a join, whose hot keys adaptive execution splits; there they are rows of a few numbers.
@@ -33,6 +34,7 @@ MIN_DOCS = 3
 MIN_TOKENS = 3
 LEAD = 3
 SPAN_TOKENS = 12
+LONG_TOKENS = 50
 LAST_ID = 2**63 - 1
 #: A token with a digit; the search only starts where a token does.
 VARIABLE = r"(?<!\S)[^\s\d]*+\d\S*"
@@ -82,7 +84,8 @@ def templates() -> Column:
 
 
 def dedup_lines(
-    docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS
+    docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS,
+    long_docs: int | None = None,
 ) -> DataFrame:
     """One row per document: its columns as struct ``row``, the text left as ``kept_text``,
     ``n_lines`` and ``n_dropped``."""
@@ -101,12 +104,16 @@ def dedup_lines(
         tokenized.select("id", "text_hash", "rank", "signature", F.posexplode("lists").alias("at", "line"))
         .filter(F.col("line.n") >= min_tokens)
         .select("id", "text_hash", "rank", "signature", "at", "line.*")
-        .select("id", "text_hash", "rank", "signature", "at", F.explode(templates()).alias("key"))
+        .select("id", "text_hash", "rank", "signature", "at", "n", F.posexplode(templates()).alias("kind", "key"))
+    )
+    is_long = (F.col("kind") == 0) & (F.col("n") > LONG_TOKENS)
+    enough = F.lit(min_docs) if long_docs is None else F.max(
+        F.when(is_long, long_docs).otherwise(min_docs)
     )
     recurring = (
         found.groupBy("key")
-        .agg(F.count_distinct("signature").alias("docs"), F.min("rank").alias("first"))
-        .filter(F.col("docs") >= min_docs)
+        .agg(F.count_distinct("signature").alias("docs"), F.min("rank").alias("first"), enough.alias("enough"))
+        .filter(F.col("docs") >= F.col("enough"))
         .select("key", "first")
     )
     dropped = (

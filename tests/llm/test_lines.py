@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+import corpus_pipeline
 from oracle_check import compare, connect
 
 from featuremart.llm import lines
@@ -79,3 +80,10 @@ def test_documents_that_lose_all_lines_go(documents):
 def test_main_path_is_native(documents, plan_of):
     plan = plan_of(lines.dedup_lines(documents((1, "a b c"))))
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+
+
+def test_pipeline_drops_a_long_passage_from_the_second_document(spark, documents):
+    long = " ".join(words(i) for i in range(100, 104))
+    docs = documents(*[(i, f"{words(i)}\n{COMMON}\n{long}") for i in (4, 2)], (9, words(50)))
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, None).collect()}
+    assert got == {2: f"{words(2)}\n{COMMON}\n{long}", 4: f"{words(4)}\n{COMMON}", 9: words(50)}
