@@ -8,7 +8,10 @@ meet by an aggregation and no two lines are compared.
 
 A template recurs if it is in at least ``min_docs`` documents. Copies of one document would make all
 its lines recur, so documents are told apart by a signature, the least and the greatest hash of the
-tree leaves of their lines: copies, and most near copies, have the same one and count once. Lines of a
+tree leaves of their lines: copies, and most near copies, have the same one and count once. So do
+different documents whose extreme leaves coincide, which the query's SQL asks for. With ``by_content``
+documents are told apart by their text; of those that share a signature, the ones similar to its
+first (0.8 or more of the five-word shingles, counted exactly) count as one with it. Lines of a
 recurring template are dropped from all documents but the first that has it (smallest doc_id);
 within a document nothing is dropped for being repeated there. Lines of fewer than ``min_tokens``
 tokens are left alone. With ``long_docs`` the whole template of a line of more than LONG_TOKENS tokens
@@ -28,13 +31,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.llm.common import NO_ID, packed
+from featuremart.llm.common import NO_ID, packed, staged
 
 MIN_DOCS = 3
 MIN_TOKENS = 3
 LEAD = 3
 SPAN_TOKENS = 12
 LONG_TOKENS = 50
+SHINGLE = 5
+LEAST = 0.8
 LAST_ID = 2**63 - 1
 #: A token with a digit; the search only starts where a token does.
 VARIABLE = r"(?<!\S)[^\s\d]*+\d\S*"
@@ -59,6 +64,38 @@ def signature(token_lists: Column) -> Column:
     return F.xxhash64(F.array_min(digest), F.array_max(digest))
 
 
+def shingles(text: Column) -> Column:
+    """Different hashes of the five-word shingles of a text."""
+    words = F.split(F.btrim(F.lower(text), F.lit(SPACES)), r"\s+", -1)
+    return F.array_distinct(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size(words) - SHINGLE + 1, F.lit(1))),
+        lambda i: F.xxhash64(F.slice(words, i, SHINGLE)),
+    ))
+
+
+def near_copies(marked: DataFrame, texts: DataFrame) -> DataFrame:
+    """text_hash, near: the least text hash of the signature, where both texts are similar.
+
+    ``marked`` names the signature of each text hash, ``texts`` has the texts. One row per text, each
+    compared with one other, so a large group stays linear.
+    """
+    leads = marked.groupBy("signature").agg(F.min("text_hash").alias("lead"), F.max("text_hash").alias("most"))
+    shared = marked.join(leads.filter("lead < most").select("signature", "lead"), "signature")
+    sets = texts.join(shared.dropDuplicates(["text_hash"]), "text_hash").select(
+        "text_hash", "lead", F.explode(F.array(shingles(F.col("text")))).alias("set")
+    )
+    sets, _ = staged(sets, "sets")
+    first = sets.filter("text_hash = lead").dropDuplicates(["lead"]).select("lead", F.col("set").alias("lead_set"))
+    both = F.size(F.array_intersect("set", "lead_set"))
+    return (
+        sets.filter("text_hash <> lead")
+        .join(first, "lead")
+        .filter(both >= LEAST * (F.size("set") + F.size("lead_set") - both) - 1e-9)
+        .select("text_hash", F.col("lead").alias("near"))
+        .dropDuplicates(["text_hash"])
+    )
+
+
 def parts(tokens: Column) -> Column:
     """A line by its place in the tree and the hashes of the thirds of the rest."""
     rest = F.greatest(F.size(tokens) - LEAD, F.lit(0))
@@ -85,7 +122,7 @@ def templates() -> Column:
 
 def dedup_lines(
     docs: DataFrame, min_docs: int = MIN_DOCS, min_tokens: int = MIN_TOKENS,
-    long_docs: int | None = None,
+    long_docs: int | None = None, by_content: bool = False,
 ) -> DataFrame:
     """One row per document: its columns as struct ``row``, the text left as ``kept_text``,
     ``n_lines`` and ``n_dropped``."""
@@ -100,6 +137,12 @@ def dedup_lines(
             signature(F.col("lists")).alias("signature"), F.transform("lists", parts).alias("lists"),
         )
     )
+    if by_content:
+        marked, _ = staged(tokenized.select("text_hash", "signature").distinct(), "signatures")
+        near = near_copies(marked, rows.select("text_hash", F.col("row.text").alias("text")))
+        tokenized = tokenized.join(near, "text_hash", "left").withColumn(
+            "signature", F.coalesce("near", "text_hash")
+        )
     found = (
         tokenized.select("id", "text_hash", "rank", "signature", F.posexplode("lists").alias("at", "line"))
         .filter(F.col("line.n") >= min_tokens)

@@ -87,3 +87,19 @@ def test_pipeline_drops_a_long_passage_from_the_second_document(spark, documents
     docs = documents(*[(i, f"{words(i)}\n{COMMON}\n{long}") for i in (4, 2)], (9, words(50)))
     got = {r.doc_id: r.text for r in corpus_pipeline.drop_lines(spark, docs, None).collect()}
     assert got == {2: f"{words(2)}\n{COMMON}\n{long}", 4: f"{words(4)}\n{COMMON}", 9: words(50)}
+
+
+def test_pipeline_tells_documents_apart_by_their_text(spark, documents, plan_of):
+    """Logs of one template have one signature; near copies of one text still count once."""
+    logs = [(i, f"event {i} at 10:3{i} user {i * 7} took {i * 13} ms on node n{i}") for i in range(5)]
+    text = [f"{c}{chr(97 + i)}{chr(97 + k)}" for k in range(5) for i in range(20) for c in "xy"]
+    near = [
+        (20 + i, "\n".join(" ".join(f"z{i}" if n == 47 + 5 * i else w for n, w in enumerate(text[a : a + 40], a))
+                           for a in range(0, 200, 40)))
+        for i in range(4)
+    ]
+    out = corpus_pipeline.drop_lines(spark, documents(*logs, *logs, *near), None)
+    plan = plan_of(out)
+    assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
+    got = [(r.doc_id, r.text) for r in out.collect()]
+    assert sorted(got) == [logs[0]] * 2 + near
