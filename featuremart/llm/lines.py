@@ -64,9 +64,8 @@ def signature(token_lists: Column) -> Column:
     return F.xxhash64(F.array_min(digest), F.array_max(digest))
 
 
-def shingles(text: Column) -> Column:
-    """Different hashes of the five-word shingles of a text."""
-    words = F.split(F.btrim(F.lower(text), F.lit(SPACES)), r"\s+", -1)
+def shingles(words: Column) -> Column:
+    """Different hashes of the five-word shingles; ``words`` must be a column, as each shingle evaluates it."""
     return F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(words) - SHINGLE + 1, F.lit(1))),
         lambda i: F.xxhash64(F.slice(words, i, SHINGLE)),
@@ -81,8 +80,11 @@ def near_copies(marked: DataFrame, texts: DataFrame) -> DataFrame:
     """
     leads = marked.groupBy("signature").agg(F.min("text_hash").alias("lead"), F.max("text_hash").alias("most"))
     shared = marked.join(leads.filter("lead < most").select("signature", "lead"), "signature")
-    sets = texts.join(shared.dropDuplicates(["text_hash"]), "text_hash").select(
-        "text_hash", "lead", F.explode(F.array(shingles(F.col("text")))).alias("set")
+    words = F.split(F.btrim(F.lower("text"), F.lit(SPACES)), r"\s+", -1)
+    sets = (
+        texts.join(shared.dropDuplicates(["text_hash"]), "text_hash")
+        .select("text_hash", "lead", F.explode(F.array(words)).alias("words"))
+        .select("text_hash", "lead", F.explode(F.array(shingles(F.col("words")))).alias("set"))
     )
     sets, _ = staged(sets, "sets")
     first = sets.filter("text_hash = lead").dropDuplicates(["lead"]).select("lead", F.col("set").alias("lead_set"))
