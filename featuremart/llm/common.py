@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,21 @@ def id_or_null(name: str = "id") -> Column:
     return F.when(F.col(name) != NO_ID, F.col(name))
 
 
+def blocks(texts: Sequence[str | None], size: int) -> Iterator[slice]:
+    """Stretches of ``texts`` of at least ``size`` characters each, but for the last one.
+
+    A batch is worked on a stretch at a time, so memory goes with the longest text, not with the batch.
+    """
+    start = held = 0
+    for i, text in enumerate(texts):
+        held += len(text or "") + 1
+        if held >= size:
+            yield slice(start, i + 1)
+            start, held = i + 1, 0
+    if start < len(texts):
+        yield slice(start, len(texts))
+
+
 def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """``df`` written once to the shared folder and read again, and where it lies."""
     path = scratch_path(df.sparkSession, name)

@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.llm import chat, lattice, lines, mixing, packing, quality, rollups, simhash, topk, toxicity
+from featuremart.llm import (
+    chat, lattice, lines, mixing, packing, pieces, quality, rollups, simhash, topk, toxicity,
+)
 from featuremart.operators.scratch import scratch_path
 
 QUERIES = {}
@@ -22,6 +24,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    """The SentencePiece model of the contract; installed on every executor."""
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def query(oracle: str | None = None):
     def add(build):
         QUERIES[build.__name__] = build
@@ -95,3 +102,9 @@ def op3_weak_label_quality(spark, sf_dir):
 def op1_e8_lattice(spark, sf_dir):
     """Links and component of every vector."""
     return lattice.vector_components(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op13_sentencepiece_backtracking(spark, sf_dir):
+    """Digests of the ids of every document and of the text they decode to."""
+    return pieces.digests(table(spark, sf_dir, "documents"), piece_model_path())

@@ -1,0 +1,106 @@
+import hashlib
+import random
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
+
+from featuremart.llm import pieces
+from featuremart.llm.queries import op13_sentencepiece_backtracking
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def library():
+    return SentencePieceProcessor(model_file=MODEL)
+
+
+@pytest.fixture(scope="module")
+def use():
+    return pieces.Pieces(MODEL)
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def texts():
+    rng = random.Random(7)
+    odd = ["\u2581", " ", "  ", "\n", "\t", "\0", "<s>", "</s>", "<0x41>", "<unk>", "\u00e9", "e\u0301", "\U0001f600",
+           "\ufb01", "\u4e2d", "\ud7a3", "\U0010ffff", "\u00a0", "'"]
+    for n in [0, 1, 2, 3, 5, 8, 40, 300]:
+        for _ in range(60):
+            yield "".join(rng.choice([*odd, *"abcdefghijklmnop  "]) for _ in range(n))
+            yield "".join(rng.choice("theinrsa ") for _ in range(n))
+            yield "".join(chr(rng.randrange(1, 0xD800)) for _ in range(n))
+    for n in range(40):
+        yield " " * n + "x" + " " * n
+
+
+def test_ids_are_those_of_the_library(use, library):
+    for text in texts():
+        assert use.ids(text) == library.encode(text), repr(text)
+        assert use.decode(use.ids(text)) == library.decode(library.encode(text))
+
+
+def test_words_longer_than_a_window(use, library):
+    rng = random.Random(3)
+    for letters in ("ab", "aeinrst", "th", "\u4e2d\U0001f600x"):
+        text = "".join(rng.choice(letters) for _ in range(3 * pieces.WINDOW))
+        assert use.ids(text) == library.encode(text)
+    assert use.ids("a" * 20_000) == library.encode("a" * 20_000)
+
+
+def test_search_steps_back(use):
+    """Longest match alone would give other tokens."""
+    greedy = 0
+    for word in ("theother", "inarest", "withering", "esthering", "tionedst"):
+        tokens = use.search(pieces.SPACE + word)
+        at, first = 0, []
+        while at < len(word) + 1:
+            end, token = pieces.Matches(use, pieces.SPACE + word).at(at).pop()
+            first.append(token)
+            at = end
+        greedy += tokens != first
+        assert use.model.encode(word) == tokens
+    assert greedy
+
+
+def test_small_caches_change_nothing(use, library, monkeypatch):
+    monkeypatch.setattr(pieces, "KEPT_WORDS", 3)
+    monkeypatch.setattr(pieces, "KEPT_PAIRS", 3)
+    small = pieces.Pieces(MODEL)
+    for text in list(texts())[::20]:
+        assert small.ids(text) == library.encode(text)
+    assert len(small.words) <= 3 and len(small.pairs) <= 3
+
+
+def test_edge_rows(spark, documents, library):
+    rows = [(1, None), (2, ""), (3, " "), (4, "a b"), (4, "a b"), (None, "x"), (5, "long " * 100_000)]
+    got = pieces.digests(documents(*rows), MODEL).collect()
+    want = []
+    for key, text in rows:
+        ids = [*library.encode(text or ""), library.eos_id()]
+        want.append((key, len(ids), sha(" ".join(map(str, ids))), sha(library.decode(ids))))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert {r.doc_id: r.n_tokens for r in got if r.doc_id in (1, 2)} == {1: 1, 2: 1}
+    assert pieces.digests(documents(*rows).limit(0), MODEL).count() == 0
+
+
+def test_other_models_are_refused(tmp_path):
+    with pytest.raises((OSError, RuntimeError, ValueError)):
+        pieces.Pieces(str(tmp_path / "none.model"))
+
+
+def test_query_is_the_library_on_all_documents(spark, table, library):
+    got = {r.doc_id: r for r in op13_sentencepiece_backtracking(spark, "/root/testdata/sf0.01").collect()}
+    docs = table("documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).collect()
+    assert len(got) == len(docs)
+    for row in docs:
+        ids = library.encode(row.text, add_eos=True)
+        found = got[row.doc_id]
+        assert found.n_tokens == len(ids)
+        assert found.ids_sha256 == sha(" ".join(map(str, ids)))
+        assert found.decoded_sha256 == sha(library.decode(ids))
