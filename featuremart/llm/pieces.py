@@ -38,7 +38,11 @@ from pyspark.sql import functions as F
 from featuremart.llm.common import blocks, id_or_null, packed
 
 SPACE = "\u2581"
-KEPT_WORDS = 300_000
+#: Tokens from UNKNOWN on are characters that are no piece; NOTHING stands before the first token.
+UNKNOWN = 1 << 22
+NOTHING = 1 << 23
+NEVER = float("-inf")
+KEPT_WORDS = 400_000
 KEPT_PAIRS = 500_000
 LONGEST_KEPT = 64
 WINDOW = 4096
@@ -48,36 +52,36 @@ CROSSING = re.compile(f"[^{SPACE}]{SPACE}|\n.|.\n", re.DOTALL)
 
 
 class Matches:
-    """Pieces that start at each position of a word, shortest first, found a window at a time."""
+    """Pieces that start at each position of a word, found a window at a time."""
 
     def __init__(self, pieces: Pieces, word: str):
         self.pieces, self.word = pieces, word
         self.low = self.high = 0
-        self.found: list[list[tuple[int, int]]] = []
+        self.found: dict[int, list[tuple[int, int]]] = {}
 
     def at(self, position: int) -> list[tuple[int, int]]:
-        """(end, id) of the pieces from ``position`` on; a copy, as the caller uses it up."""
+        """(end, id) of the pieces from ``position`` on, shortest first; for the caller to use up."""
         if not self.low <= position < self.high:
             self.low = max(0, position - 4 * self.pieces.longest)
             self.high = min(len(self.word), self.low + WINDOW)
             self._search()
-        return self.found[position - self.low].copy()
+        char = self.word[position]
+        return [(position + 1, self.pieces.single.get(char) or UNKNOWN + ord(char)), *self.found.get(position, ())]
 
     def _search(self) -> None:
-        low, size = self.low, self.high - self.low
-        text = self.word[low : self.high + self.pieces.longest]
-        found = self.found = [[] for _ in range(size)]
-        for last, (length, token) in self.pieces.automaton.iter(text):
-            start = last + 1 - length
-            if start < size:
-                found[start].append((low + last + 1, token))
-        for start, options in enumerate(found):
-            if not options or options[0][0] > low + start + 1:  # the character is no piece
-                options.insert(0, (low + start + 1, -1 - ord(text[start])))
+        low, found = self.low, {}
+        stop = self.high + self.pieces.longest
+        for last, (length, token) in self.pieces.automaton.iter(self.word[low:stop]):
+            end = low + last + 1
+            if end - length in found:
+                found[end - length].append((end, token))
+            else:
+                found[end - length] = [(end, token)]
+        self.found = found
 
 
 class Pieces:
-    """The pieces of a model. Tokens are ids, or -1 - code point for a character that is no piece."""
+    """The pieces of a model. Tokens are ids, or UNKNOWN + code point for a character that is no piece."""
 
     def __init__(self, path: str):
         import ahocorasick
@@ -88,8 +92,8 @@ class Pieces:
         self.piece = [model.id_to_piece(i) for i in range(size)]
         self.size, self.end_id = size, model.eos_id()
         self.byte_id = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        if any(model.is_unused(i) for i in range(size)) or not all(map(model.is_byte, self.byte_id)):
-            raise ValueError("the model has unused pieces or no byte fallback")
+        if size > UNKNOWN or any(model.is_unused(i) for i in range(size)) or not all(map(model.is_byte, self.byte_id)):
+            raise ValueError("the model is too large, has unused pieces or has no byte fallback")
         kept = [
             i for i in range(size)
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
@@ -97,8 +101,10 @@ class Pieces:
         self.score = {self.piece[i]: model.get_score(i) for i in kept}
         self.longest = max(map(len, self.score))
         self.automaton = ahocorasick.Automaton()
+        self.single = {self.piece[i]: i for i in kept if len(self.piece[i]) == 1}
         for i in kept:
-            self.automaton.add_word(self.piece[i], (len(self.piece[i]), i))
+            if len(self.piece[i]) > 1:
+                self.automaton.add_word(self.piece[i], (len(self.piece[i]), i))
         self.automaton.make_automaton()
         self.cuts = not any(CROSSING.search(p) for p in self.score)
         self.pairs: dict[int, bool] = {}
@@ -108,46 +114,46 @@ class Pieces:
             raise ValueError("the model does not merge by score")
 
     def text(self, token: int) -> str:
-        return self.piece[token] if token >= 0 else chr(-1 - token)
+        return self.piece[token] if token < UNKNOWN else chr(token - UNKNOWN)
 
     def merged(self, text: str) -> list[str]:
         """The text after all merges."""
-        parts, score = list(text), self.score
-        while True:
-            found = [score.get(a + b) for a, b in zip(parts, parts[1:])]
-            best = max((s for s in found if s is not None), default=None)
-            if best is None:
-                return parts
-            at = found.index(best)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-
-    def fits(self, before: int | None, token: int) -> bool:
-        """Whether merging ``before`` and ``token`` anew leaves both as they are."""
-        if before is None:
-            key = -1 - token
-        else:
-            key = ((before + 0x110000) << 32) + token + 0x110000
-        known = self.pairs.get(key)
+        parts, score = list(text), self.score.get
+        scores = [score(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        while scores and (best := max(scores)) > NEVER:
+            at = scores.index(best)
+            parts[at] += parts.pop(at + 1)
+            del scores[at]
+            if at:
+                scores[at - 1] = score(parts[at - 1] + parts[at], NEVER)
+            if at < len(scores):
+                scores[at] = score(parts[at] + parts[at + 1], NEVER)
+        return parts
+
+    def fits(self, before: int, token: int) -> bool:
+        """Whether merging ``before`` (NOTHING at the start) and ``token`` anew leaves both as they are."""
+        known = self.pairs.get(before << 32 | token)
         if known is None:
             if len(self.pairs) >= KEPT_PAIRS:
                 self.pairs.clear()
-            own = self.text(token)
-            parts = [own] if before is None else [self.text(before), own]
-            known = self.pairs[key] = self.merged("".join(parts)) == parts
+            parts = [self.text(token)] if before == NOTHING else [self.text(before), self.text(token)]
+            known = self.pairs[before << 32 | token] = self.merged("".join(parts)) == parts
         return known
 
     def search(self, word: str) -> list[int]:
         """Tokens of a word of any length, by backtracking."""
-        size, matches = len(word), Matches(self, word)
+        size, matches, known = len(word), Matches(self, word), self.pairs
         failed = bytearray(size // 8 + 1)
-        tokens: list[int] = []
-        starts: list[int] = []
+        tokens, starts = [NOTHING], []
         at, options = 0, [matches.at(0)]
         while at < size:
-            before, left = tokens[-1] if tokens else None, options[-1]
+            before, left = tokens[-1], options[-1]
             while left:
                 end, token = left.pop()
-                if not failed[end >> 3] >> (end & 7) & 1 and self.fits(before, token):
+                if failed[end >> 3] >> (end & 7) & 1:
+                    continue
+                fits = known.get(before << 32 | token)
+                if fits or (fits is None and self.fits(before, token)):
                     tokens.append(token)
                     starts.append(at)
                     at = end
@@ -159,7 +165,7 @@ class Pieces:
                 options.pop()
                 tokens.pop()
                 at = starts.pop()
-        return tokens
+        return tokens[1:]
 
     def word_ids(self, word: str) -> list[int]:
         """Ids of one word of a normalised text."""
@@ -167,10 +173,10 @@ class Pieces:
         if known is None:
             known = []
             for token in self.search(word):
-                if token >= 0:
+                if token < UNKNOWN:
                     known.append(token)
                 else:
-                    known.extend(self.byte_id[b] for b in chr(-1 - token).encode())
+                    known.extend(self.byte_id[b] for b in chr(token - UNKNOWN).encode())
             if len(word) <= LONGEST_KEPT:
                 if len(self.words) >= KEPT_WORDS:
                     self.words.clear()
@@ -184,8 +190,9 @@ class Pieces:
         normal = self.model.normalize(text)
         words = WORD.findall(normal) if self.cuts else [normal]
         found: list[int] = []
-        for ids in map(self.word_ids, words):
-            found += ids
+        known = self.words.get
+        for word in words:
+            found += known(word) or self.word_ids(word)
         return found
 
     def decode(self, ids: Iterable[int]) -> str:
