@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.llm import (
-    chat, lattice, lines, mixing, packing, pieces, quality, rollups, simhash, topk, toxicity,
+    chat, lattice, lines, mixing, packing, periodic, pieces, quality, rollups, simhash, topk, toxicity,
 )
 from featuremart.operators.scratch import scratch_path
 
@@ -108,3 +108,9 @@ def op1_e8_lattice(spark, sf_dir):
 def op13_sentencepiece_backtracking(spark, sf_dir):
     """Digests of the ids of every document and of the text they decode to."""
     return pieces.digests(table(spark, sf_dir, "documents"), piece_model_path())
+
+
+@query()
+def op12_difference_cover_runs(spark, sf_dir):
+    """Runs of repeated words of every document, with periods planted in one in ten."""
+    return periodic.digests(periodic.with_planted_periods(table(spark, sf_dir, "documents")))
