@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.llm import (
-    chat, lattice, lines, mixing, packing, periodic, pieces, quality, rollups, simhash, topk, toxicity,
+    align, chat, lattice, lines, mixing, packing, periodic, pieces, quality, rollups, simhash, topk, toxicity,
 )
 from featuremart.operators.scratch import scratch_path
 
@@ -114,3 +114,9 @@ def op13_sentencepiece_backtracking(spark, sf_dir):
 def op12_difference_cover_runs(spark, sf_dir):
     """Runs of repeated words of every document, with periods planted in one in ten."""
     return periodic.digests(periodic.with_planted_periods(table(spark, sf_dir, "documents")))
+
+
+@query()
+def op11_merge_asof_alignment(spark, sf_dir):
+    """Groups and links of the tokens of two tokenizers in every document."""
+    return align.digests(table(spark, sf_dir, "documents"), tokenizer_path(), piece_model_path())

@@ -1,0 +1,129 @@
+import hashlib
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+from featuremart.llm import align
+from featuremart.llm.queries import op11_merge_asof_alignment
+
+A = public_tokenizers.path("byte_bpe_50k.json")
+B = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def libraries():
+    a = Tokenizer.from_file(A)
+    a.encode_special_tokens = True
+    return a, SentencePieceProcessor(model_file=B)
+
+
+@pytest.fixture(scope="module")
+def use():
+    return align.Aligner(A, B)
+
+
+def token_bytes(libraries, text):
+    """(id, bytes) of both sides, or none."""
+    if not text:
+        return [], []
+    a, b = libraries
+    letters = align.byte_letters()
+    left = [(i, bytes(letters[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids]
+    right = []
+    for i in b.encode(text):
+        piece = b.id_to_piece(i)
+        right.append((i, bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()))
+    whole = (" " + text).encode()
+    if b"".join(x for _, x in left) != whole or b"".join(x for _, x in right) != whole:
+        return [], []
+    return left, right
+
+
+def spans(side):
+    at, out = 0, []
+    for i, value in side:
+        out.append((i, at, at + len(value)))
+        at += len(value)
+    return out
+
+
+def brute(libraries, rows):
+    """The contract, pair by pair."""
+    docs = []
+    for key, text in rows:
+        a, b = map(spans, token_bytes(libraries, text))
+        ends = sorted({e for _, _, e in a} & {e for _, _, e in b})
+        by_end = {e: i for i, _, e in b}
+        links = [(i, by_end[e]) for i, _, e in a if e in by_end]
+        shared = sum(1 for _, s, e in a for _, t, f in b if s < f and t < e) if len(a) < 400 else None
+        groups, low = [], 0
+        if len(a) < 3000:
+            for end in ends:
+                groups.append("|".join(
+                    ",".join(str(i) for i, s, e in side if low <= s and e <= end) for side in (a, b)
+                ))
+                low = end
+        docs.append((key, a, b, ends, links, ";".join(groups), shared))
+    counts = Counter(link for d in docs for link in d[4])
+    highest = Counter()
+    for (_, b), n in counts.items():
+        highest[b] = max(highest[b], n)
+    return [
+        (key, len(a), len(b), len(ends), len(links), sum(counts[x] == highest[x[1]] for x in links),
+         sum(counts[x] for x in links), hashlib.sha256(groups.encode()).hexdigest() if a else "", shared)
+        for key, a, b, ends, links, groups, shared in docs
+    ]
+
+
+ROWS = [
+    (1, None), (2, ""), (3, " "), (4, "The quick brown fox. It's here!"), (4, "The quick brown fox. It's here!"),
+    (None, "naïve café \U0001f600 中文"), (7, "a▁b"), (8, "<|endoftext|> and <s> </s> <0x41>"),
+    (9, "two  spaces\n\n\tand tabs \n"), (10, "trailing "), (11, "\nx\ny z"), (12, "don't 'sx 12345 it'll"), (13, "\x00\x01"),
+]
+
+
+def test_edge_rows(spark, documents, libraries):
+    got = sorted(map(tuple, align.digests(documents(*ROWS), A, B).collect()), key=str)
+    assert got == sorted(brute(libraries, ROWS), key=str)
+    assert {r[0]: r[1:8] for r in got}[7] == (0, 0, 0, 0, 0, 0, "")
+    assert align.digests(documents(*ROWS).limit(0), A, B).count() == 0
+
+
+def test_random_texts(use, libraries):
+    rng = random.Random(5)
+    letters = [*"abcdeinrst .,'\n  ", "é", "\U0001f600", "中", " ", "\t"]
+    rows = [(i, "".join(rng.choice(letters) for _ in range(rng.randrange(60)))) for i in range(300)]
+    found = use.align([t for _, t in rows])
+    want = brute(libraries, rows)
+    assert list(zip(found.n_a, found.n_b, found.n_groups, found.n_links, found.n_overlaps)) == [
+        (*w[1:5], w[8]) for w in want
+    ]
+    assert [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in found.groups] == [w[7] for w in want]
+
+
+def test_long_text(use, libraries):
+    text = "word, and other words " * 20_000
+    found = use.align([None, text, "x"])
+    (want,) = brute(libraries, [(1, text)])
+    assert found.iloc[1][["n_a", "n_b", "n_groups", "n_links"]].tolist() == list(want[1:5])
+
+
+def test_pairs_are_bounded_by_the_vocabularies(use):
+    """The broadcast table: one pair at most for each end of a token and token with those bytes."""
+    assert len(use.pairs) < 3 * (use.length_a.sum() + use.length_b.sum())
+    assert len(use.pairs) * 9 < 16 << 20
+
+
+def test_query_is_brute_force_on_all_documents(spark, table, libraries):
+    got = sorted(map(tuple, op11_merge_asof_alignment(spark, "/root/testdata/sf0.001").collect()))
+    rows = [(r.doc_id, r.text) for r in table("documents", "sf0.001").collect()]
+    want = sorted(brute(libraries, rows), key=lambda w: w[0])
+    assert len(got) == len(want)
+    for g, w in zip(got, want, strict=True):
+        assert g[:7] == w[:7]
+        if w[1] < 3000:
+            assert g[7] == w[7]
