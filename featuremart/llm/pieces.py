@@ -6,7 +6,7 @@ are compatible: merging the text of the two anew gives the same two again. (The
 border of the cut would be a merge inside its two neighbours as well, where none is.) So a text is
 encoded without merging it:
 
-- Aho-Corasick finds all pieces in it. At each position the longest piece is tried first.
+- Aho-Corasick finds the longest piece at a position. It is tried first, then the pieces it begins with.
 - A piece is taken if it is compatible with the token before it. Compatibility is found by merging
   the two texts, once per pair of ids, and remembered.
 - Where no piece fits, the last token is given up and the next shorter one in its place tried. Tokens up to a
@@ -15,8 +15,7 @@ encoded without merging it:
 
 A character that is no piece stands alone and becomes its UTF-8 bytes. No piece crosses from another
 character to a space mark, so a text is cut there and the ids of a word are kept, for a bounded number
-of short words. A longer word is searched through a window, so only its ids grow with it. Where a model
-has pieces that cross, texts are not cut. Models of other kinds (unigram, without byte fallback, with
+of short words. A longer word is searched each time. Where a model has pieces that cross, texts are not cut. Models of other kinds (unigram, without byte fallback, with
 pieces of the user's) are refused.
 
 Edge cases. A null text counts as empty; an empty one is the end id alone and decodes to an empty text.
@@ -29,6 +28,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -38,11 +38,9 @@ from pyspark.sql import functions as F
 from featuremart.llm.common import blocks, id_or_null, packed
 
 SPACE = "\u2581"
-#: Tokens from UNKNOWN on are characters that are no piece; NOTHING stands before the first token.
-UNKNOWN = 1 << 22
-NOTHING = 1 << 23
+NOTHING = -1
 NEVER = float("-inf")
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
 KEPT_PAIRS = 500_000
 LONGEST_KEPT = 64
 WINDOW = 4096
@@ -51,37 +49,8 @@ WORD = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 CROSSING = re.compile(f"[^{SPACE}]{SPACE}|\n.|.\n", re.DOTALL)
 
 
-class Matches:
-    """Pieces that start at each position of a word, found a window at a time."""
-
-    def __init__(self, pieces: Pieces, word: str):
-        self.pieces, self.word = pieces, word
-        self.low = self.high = 0
-        self.found: dict[int, list[tuple[int, int]]] = {}
-
-    def at(self, position: int) -> list[tuple[int, int]]:
-        """(end, id) of the pieces from ``position`` on, shortest first; for the caller to use up."""
-        if not self.low <= position < self.high:
-            self.low = max(0, position - 4 * self.pieces.longest)
-            self.high = min(len(self.word), self.low + WINDOW)
-            self._search()
-        char = self.word[position]
-        return [(position + 1, self.pieces.single.get(char) or UNKNOWN + ord(char)), *self.found.get(position, ())]
-
-    def _search(self) -> None:
-        low, found = self.low, {}
-        stop = self.high + self.pieces.longest
-        for last, (length, token) in self.pieces.automaton.iter(self.word[low:stop]):
-            end = low + last + 1
-            if end - length in found:
-                found[end - length].append((end, token))
-            else:
-                found[end - length] = [(end, token)]
-        self.found = found
-
-
 class Pieces:
-    """The pieces of a model. Tokens are ids, or UNKNOWN + code point for a character that is no piece."""
+    """The pieces of a model. Tokens are ids; characters that are no piece get numbers after them."""
 
     def __init__(self, path: str):
         import ahocorasick
@@ -92,29 +61,49 @@ class Pieces:
         self.piece = [model.id_to_piece(i) for i in range(size)]
         self.size, self.end_id = size, model.eos_id()
         self.byte_id = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        if size > UNKNOWN or any(model.is_unused(i) for i in range(size)) or not all(map(model.is_byte, self.byte_id)):
-            raise ValueError("the model is too large, has unused pieces or has no byte fallback")
+        if any(model.is_unused(i) for i in range(size)) or not all(map(model.is_byte, self.byte_id)):
+            raise ValueError("the model has unused pieces or no byte fallback")
         kept = [
             i for i in range(size)
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
         ]
         self.score = {self.piece[i]: model.get_score(i) for i in kept}
         self.longest = max(map(len, self.score))
+        self.cuts = not any(CROSSING.search(p) for p in self.score)
+        self.length, self.shorter = list(map(len, self.piece)), [NOTHING] * size
+        #: For each token, whether the tokens tried after it are compatible.
+        self.pairs: list[dict[int, bool]] = [{} for _ in range(size)]
+        self.n_pairs = 0
+        self.start = self._add("")
+        known = {self.piece[i]: i for i in kept}
+        self.single = {text: i for text, i in known.items() if len(text) == 1}
         self.automaton = ahocorasick.Automaton()
-        self.single = {self.piece[i]: i for i in kept if len(self.piece[i]) == 1}
-        for i in kept:
-            if len(self.piece[i]) > 1:
-                self.automaton.add_word(self.piece[i], (len(self.piece[i]), i))
+        for text, i in known.items():
+            if len(text) > 1:
+                self.automaton.add_word(text, (len(text), i))
+                starts = (known[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in known)
+                self.shorter[i] = next(starts, None) or self.character(text[0])
         self.automaton.make_automaton()
-        self.cuts = not any(CROSSING.search(p) for p in self.score)
-        self.pairs: dict[int, bool] = {}
         self.words: dict[str, list[int]] = {}
+        self.spaced: dict[str, list[int]] = {}
         probe = "probing  the model: merges, not likelihoods 123"
         if self.ids(probe) != model.encode(probe):
             raise ValueError("the model does not merge by score")
 
-    def text(self, token: int) -> str:
-        return self.piece[token] if token < UNKNOWN else chr(token - UNKNOWN)
+    def _add(self, text: str) -> int:
+        """A token for a text that is no piece."""
+        self.piece.append(text)
+        self.length.append(len(text))
+        self.shorter.append(NOTHING)
+        self.pairs.append({})
+        return len(self.piece) - 1
+
+    def character(self, char: str) -> int:
+        """The token of a single character."""
+        token = self.single.get(char)
+        if token is None:
+            token = self.single[char] = self._add(char)
+        return token
 
     def merged(self, text: str) -> list[str]:
         """The text after all merges."""
@@ -131,69 +120,87 @@ class Pieces:
         return parts
 
     def fits(self, before: int, token: int) -> bool:
-        """Whether merging ``before`` (NOTHING at the start) and ``token`` anew leaves both as they are."""
-        known = self.pairs.get(before << 32 | token)
-        if known is None:
-            if len(self.pairs) >= KEPT_PAIRS:
-                self.pairs.clear()
-            parts = [self.text(token)] if before == NOTHING else [self.text(before), self.text(token)]
-            known = self.pairs[before << 32 | token] = self.merged("".join(parts)) == parts
-        return known
+        """Whether merging ``before`` and ``token`` anew leaves both as they are; remembered."""
+        if self.n_pairs >= KEPT_PAIRS:
+            for row in self.pairs:
+                row.clear()
+            self.n_pairs = 0
+        self.n_pairs += 1
+        parts = [self.piece[before], self.piece[token]] if before != self.start else [self.piece[token]]
+        self.pairs[before][token] = self.merged("".join(parts)) == parts
+        return self.pairs[before][token]
+
+    def longest_pieces(self, word: str, low: int) -> dict[int, int]:
+        """The longest piece of two characters or more at the places of a word, for WINDOW places."""
+        text = word[low : low + WINDOW + self.longest] if len(word) > WINDOW else word
+        # Matches come by their ends, so the longest one of a place comes last.
+        return {low + last + 1 - n: token for last, (n, token) in self.automaton.iter(text)}
 
     def search(self, word: str) -> list[int]:
         """Tokens of a word of any length, by backtracking."""
-        size, matches, known = len(word), Matches(self, word), self.pairs
-        failed = bytearray(size // 8 + 1)
-        tokens, starts = [NOTHING], []
-        at, options = 0, [matches.at(0)]
-        while at < size:
-            before, left = tokens[-1], options[-1]
-            while left:
-                end, token = left.pop()
-                if failed[end >> 3] >> (end & 7) & 1:
-                    continue
-                fits = known.get(before << 32 | token)
-                if fits or (fits is None and self.fits(before, token)):
-                    tokens.append(token)
-                    starts.append(at)
-                    at = end
-                    if at < size:
-                        options.append(matches.at(at))
-                    break
+        size, pairs, length, shorter = len(word), self.pairs, self.length, self.shorter
+        failed, stuck = bytearray(size // 8 + 1), False
+        low, longest = 0, self.longest_pieces(word, 0)
+        tokens, at, before = [], 0, self.start
+        token = longest.get(0) or self.character(word[0])
+        while True:
+            known = pairs[before]
+            while token != NOTHING:
+                end = at + length[token]
+                if not (stuck and failed[end >> 3] >> (end & 7) & 1):
+                    fits = known.get(token)
+                    if fits or (fits is None and self.fits(before, token)):
+                        break
+                token = shorter[token]
             else:
+                stuck = True
                 failed[at >> 3] |= 1 << (at & 7)
-                options.pop()
-                tokens.pop()
-                at = starts.pop()
-        return tokens[1:]
+                token = tokens.pop()
+                at -= length[token]
+                token, before = shorter[token], tokens[-1] if tokens else self.start
+                continue
+            tokens.append(token)
+            if end == size:
+                return tokens
+            at, before = end, token
+            if not low <= at < low + WINDOW:
+                low = max(0, at - WINDOW // 2)
+                longest = self.longest_pieces(word, low)
+            token = longest.get(at) or self.character(word[at])
 
     def word_ids(self, word: str) -> list[int]:
         """Ids of one word of a normalised text."""
-        known = self.words.get(word)
-        if known is None:
-            known = []
-            for token in self.search(word):
-                if token < UNKNOWN:
-                    known.append(token)
-                else:
-                    known.extend(self.byte_id[b] for b in chr(token - UNKNOWN).encode())
+        found = []
+        for token in self.search(word):
+            if token < self.size:
+                found.append(token)
+            else:
+                found.extend(self.byte_id[b] for b in self.piece[token].encode())
+        return found
+
+    def _lookup(self, words: list[str], known: dict[str, list[int]], mark: str) -> Iterator[list[int]]:
+        """Ids of the words, each after ``mark``, from those known; new short words become known."""
+        new = set(words).difference(known)
+        if len(known) + len(new) > KEPT_WORDS:
+            known.clear()
+            new = set(words)
+        for word in new:
             if len(word) <= LONGEST_KEPT:
-                if len(self.words) >= KEPT_WORDS:
-                    self.words.clear()
-                self.words[word] = known
-        return known
+                known[word] = self.word_ids(mark + word)
+        return (known.get(word) or self.word_ids(mark + word) for word in words) if any(
+            len(word) > LONGEST_KEPT for word in new
+        ) else map(known.__getitem__, words)
 
     def ids(self, text: str | None) -> list[int]:
         """Ids of a whole text, without an end id."""
         if not text:
             return []
         normal = self.model.normalize(text)
-        words = WORD.findall(normal) if self.cuts else [normal]
-        found: list[int] = []
-        known = self.words.get
-        for word in words:
-            found += known(word) or self.word_ids(word)
-        return found
+        if not self.cuts:
+            return self.word_ids(normal)
+        if SPACE + SPACE in normal or "\n" in normal or normal[0] != SPACE:
+            return list(chain.from_iterable(self._lookup(WORD.findall(normal), self.words, "")))
+        return list(chain.from_iterable(self._lookup(normal[1:].split(SPACE), self.spaced, SPACE)))
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of ids."""
