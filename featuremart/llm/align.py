@@ -23,9 +23,9 @@ each. An empty table gives no rows. Other columns are not looked at.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -37,6 +37,7 @@ from featuremart.llm.bpe import CUT, ODD, Encoder
 from featuremart.llm.common import blocks, id_or_null, packed, staged
 
 BLOCK = 1 << 19
+KEPT_WORDS = 500_000
 #: Groups read ``a1,a2|b1;a3|b2,b3``.
 ALIGNED = "id long, n_a long, n_b long, n_groups long, n_links long, n_overlaps long, groups string, links binary"
 
@@ -63,28 +64,17 @@ class SpacedEncoder(Encoder):
             if all(c in letters for c in token):
                 self.bytes[i] = bytes(letters[c] for c in token)
 
-    def spaced(self, texts: list[str]) -> list[bytes]:
-        cut, words, first = [], set(), {"\n"}
-        for text in texts:
-            if ODD.search(text):
-                parts = CUT.split(" " + text)
-                first.update(parts)
-                cut.append([(parts, [])])
-                continue
-            lines = []
-            for line in text.split("\n"):
-                rest = line.split(" ")
-                head = ["\n", rest.pop(0)] if lines else []
-                lines.append((head, rest))
-                first.update(head)
-                words.update(rest)
-            cut.append(lines)
+    def spaced(self, text: str) -> bytes:
+        """Ids of one text, encoded by stretches between single spaces."""
+        parts = CUT.split(" " + text)
+        self._learn(set(), set(parts))
+        return b"".join(map(self.plain.__getitem__, parts))
+
+    def learnt(self, words: set[str], first: set[str]) -> tuple[dict[str, bytes], dict[str, bytes]]:
+        """Ids of words after a space, and of words that follow no space."""
+        self.after_space, self.plain = {}, {}
         self._learn(words, first)
-        spaced, plain = self.after_space.__getitem__, self.plain.__getitem__
-        return [
-            b"".join(chain.from_iterable(chain(map(plain, h), map(spaced, r)) for h, r in lines))
-            for lines in cut
-        ]
+        return self.after_space, self.plain
 
 
 class Aligner:
@@ -92,11 +82,15 @@ class Aligner:
 
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = SpacedEncoder(path_a), pieces.pieces(path_b)
+        if not self.b.cuts:
+            raise ValueError("the model has pieces that reach over a space")
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.long: list[str] = []
         self.bytes_a = self.a.bytes
         self.bytes_b = [
             bytes([self.b.byte_id.index(i)]) if self.b.model.is_byte(i)
             else p.replace(pieces.SPACE, " ").encode()
-            for i, p in enumerate(self.b.piece)
+            for i, p in enumerate(self.b.piece[: self.b.size])
         ]
         self.length_a = np.array(list(map(len, self.bytes_a)), dtype=np.int64)
         self.length_b = np.array(list(map(len, self.bytes_b)), dtype=np.int64)
@@ -108,25 +102,56 @@ class Aligner:
         self.size_a, self.size_b = size_a, size_b
 
     def tokens(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both sides; none for a text whose bytes the tokens do not give back."""
-        none = np.empty(0, dtype=np.int64)
-        both = [], []
-        encoded = iter(self.a.spaced([text for text in texts if text]))
+        """Ids of both sides; none for a text whose bytes the tokens do not give back.
+
+        The tokens of A give back any bytes, those of B the normalised text with spaces for their marks.
+        """
+        words: list[list[str] | None] = []
         for text in texts:
-            ids = none, none
-            if text:
-                whole = b" " + text.encode()
-                a = np.frombuffer(next(encoded), dtype="<u4").astype(np.int64)
+            if not text or self.b.model.normalize(text).replace(pieces.SPACE, " ") != " " + text:
+                words.append([])
+            elif ODD.search(text):
+                words.append(None)
+            else:
+                first, *lines = text.split("\n")
+                keys = first.split(" ")
+                for line in lines:
+                    keys += ["\n", *("\n" + line).split(" ")]
+                words.append(keys)
+        self.learn(set().union(*filter(None, words)))
+        both: tuple[list, list] = [], []
+        for text, keys in zip(texts, words, strict=True):
+            if keys is None:
+                a = np.frombuffer(self.a.spaced(text), dtype="<u4")
                 b = np.array(self.b.ids(text), dtype=np.int64)
-                if all(
-                    b"".join(map(table.__getitem__, side.tolist())) == whole
-                    for table, side in ((self.bytes_a, a), (self.bytes_b, b))
-                ):
-                    ids = a, b
-            for side, found in zip(both, ids, strict=True):
-                side.append(found)
+            else:
+                found = list(map(self.known.__getitem__, keys))
+                a = np.frombuffer(b"".join([x for x, _ in found]), dtype="<u4")
+                b = np.frombuffer(b"".join([x for _, x in found]), dtype="<i4")
+            both[0].append(a.astype(np.int64))
+            both[1].append(b.astype(np.int64))
+        for word in self.long:
+            del self.known[word]
+        self.long.clear()
         return both
 
+    def learn(self, words: set[str]) -> None:
+        """Ids of words. One that stands after a line break comes with it, and a line break alone is one."""
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > KEPT_WORDS:
+            self.known.clear()
+            new = words
+        spaced = {w for w in new if w[0] != "\n"}
+        after, plain = self.a.learnt(spaced, {w[1:] or w for w in new if w[0] == "\n"})
+        for word in new:
+            if word in spaced:
+                a, b = after[word], self.b.word_ids(pieces.SPACE + word)
+            else:
+                a, b = plain[word[1:] or word], self.b.word_ids(word[1:] or word)
+            self.known[word] = a, array("i", b).tobytes()
+            if len(word) > pieces.LONGEST_KEPT:
+                self.long.append(word)
+
     def align(self, texts: list[str | None]) -> pd.DataFrame:
         """One row per text, as ALIGNED has it but for the id."""
         docs = np.arange(len(texts))
@@ -146,12 +171,13 @@ class Aligner:
         a, b = a[together], b[together]
         order = np.argsort(a, kind="stable")
         a, b = a[order], b[order]
-        cuts = np.unique(ends[0][a])
-        groups = [np.searchsorted(cuts, end) for end in ends]
         n_links = np.bincount(owners[0][a], minlength=len(texts))
-        n_groups = np.bincount(
-            owners[0][np.searchsorted(ends[0], cuts)] if len(cuts) else a, minlength=len(texts)
-        )
+        groups = []
+        for side, tokens in zip(ids, (a, b), strict=True):
+            cut = np.zeros(len(side), dtype=np.int64)
+            cut[tokens] = 1  # the token ends a group
+            groups.append(np.cumsum(cut) - cut)
+        n_groups = n_links  # one link an end, as no token is empty
         codes = np.searchsorted(self.pairs, ids[0][a] * self.size_b + ids[1][b]).astype("<i4")
         counts = [np.bincount(owner, minlength=len(texts)) for owner in owners]
         text = self.group_texts(ids, groups, counts[0] + counts[1])

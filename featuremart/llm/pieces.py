@@ -84,8 +84,8 @@ class Pieces:
                 starts = (known[text[:n]] for n in range(len(text) - 1, 0, -1) if text[:n] in known)
                 self.shorter[i] = next(starts, None) or self.character(text[0])
         self.automaton.make_automaton()
-        self.words: dict[str, list[int]] = {}
-        self.spaced: dict[str, list[int]] = {}
+        self.words: dict[str, tuple[int, ...]] = {}
+        self.spaced: dict[str, tuple[int, ...]] = {}
         probe = "probing  the model: merges, not likelihoods 123"
         if self.ids(probe) != model.encode(probe):
             raise ValueError("the model does not merge by score")
@@ -168,7 +168,7 @@ class Pieces:
                 longest = self.longest_pieces(word, low)
             token = longest.get(at) or self.character(word[at])
 
-    def word_ids(self, word: str) -> list[int]:
+    def word_ids(self, word: str) -> tuple[int, ...]:
         """Ids of one word of a normalised text."""
         found = []
         for token in self.search(word):
@@ -176,9 +176,9 @@ class Pieces:
                 found.append(token)
             else:
                 found.extend(self.byte_id[b] for b in self.piece[token].encode())
-        return found
+        return tuple(found)
 
-    def _lookup(self, words: list[str], known: dict[str, list[int]], mark: str) -> Iterator[list[int]]:
+    def _lookup(self, words: list[str], known: dict[str, tuple[int, ...]], mark: str) -> Iterator[tuple[int, ...]]:
         """Ids of the words, each after ``mark``, from those known; new short words become known."""
         new = set(words).difference(known)
         if len(known) + len(new) > KEPT_WORDS:
@@ -197,7 +197,7 @@ class Pieces:
             return []
         normal = self.model.normalize(text)
         if not self.cuts:
-            return self.word_ids(normal)
+            return list(self.word_ids(normal))
         if SPACE + SPACE in normal or "\n" in normal or normal[0] != SPACE:
             return list(chain.from_iterable(self._lookup(WORD.findall(normal), self.words, "")))
         return list(chain.from_iterable(self._lookup(normal[1:].split(SPACE), self.spaced, SPACE)))
