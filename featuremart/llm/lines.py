@@ -10,10 +10,11 @@ A template recurs if it is in at least ``min_docs`` documents. Copies of one doc
 its lines recur, so documents are told apart by a signature, the least and the greatest hash of the
 tree leaves of their lines: copies, and most near copies, have the same one and count once. So do
 different documents whose extreme leaves coincide, which the query's SQL asks for. With ``by_content``
-documents are told apart by their text; of those that share a signature, the ones similar to its
-first (0.8 or more of the five-word shingles, counted exactly) count as one with it. Lines of a
-recurring template are dropped from all documents but the first that has it (smallest doc_id);
-within a document nothing is dropped for being repeated there. Lines of fewer than ``min_tokens``
+documents are told apart by their text, and near copies (0.8 or more of the five-word shingles, counted
+exactly) are found first and are one document throughout: they count once, and as one they are the first
+or lose the line, so that they stay near copies. Lines of a recurring template are dropped from all
+documents but the first that has it (smallest doc_id); within a document nothing is dropped for being
+repeated there. Lines of fewer than ``min_tokens``
 tokens are left alone. With ``long_docs`` the whole template of a line of more than LONG_TOKENS tokens
 recurs from that many documents on; the query, whose SQL counts all alike, does without.
 
@@ -31,7 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.llm.common import NO_ID, packed, staged
+from featuremart.llm.common import NO_ID, components, packed, staged
 
 MIN_DOCS = 3
 MIN_TOKENS = 3
@@ -40,6 +41,10 @@ SPAN_TOKENS = 12
 LONG_TOKENS = 50
 SHINGLE = 5
 LEAST = 0.8
+SKETCH = 32
+KEYS = 8
+#: Sketches of 32 of a pair at 0.8 fall below this in about one pair of 30,000.
+LEAST_SKETCH = 0.5
 LAST_ID = 2**63 - 1
 #: A token with a digit; the search only starts where a token does.
 VARIABLE = r"(?<!\S)[^\s\d]*+\d\S*"
@@ -72,30 +77,62 @@ def shingles(words: Column) -> Column:
     ))
 
 
-def near_copies(marked: DataFrame, texts: DataFrame) -> DataFrame:
-    """text_hash, near: the least text hash of the signature, where both texts are similar.
+def similarity(a: Column, b: Column, size: int) -> Column:
+    """Share of the ``size`` least hashes of two sketches together that both have."""
+    both = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
+    return F.size(F.array_intersect(F.array_intersect(a, b), both)) / F.size(both)
 
-    ``marked`` names the signature of each text hash, ``texts`` has the texts. One row per text, each
-    compared with one other, so a large group stays linear.
+
+def text_classes(rows: DataFrame) -> DataFrame:
+    """text_hash, signature, first: the class of near copies of each text and its least rank.
+
+    ``rows`` has text_hash, rank and text. A text's sketch is its SKETCH least shingle hashes; texts that
+    share one of the KEYS least meet in the least text hash that has it. A pair whose sketches are alike
+    is compared by all its shingles, and counts as near from 0.8 on. Pairs are of a text and the first of
+    a key, so a large group stays linear; texts of one class share nearly all their keys.
     """
-    leads = marked.groupBy("signature").agg(F.min("text_hash").alias("lead"), F.max("text_hash").alias("most"))
-    shared = marked.join(leads.filter("lead < most").select("signature", "lead"), "signature")
     words = F.split(F.btrim(F.lower("text"), F.lit(SPACES)), r"\s+", -1)
-    sets = (
-        texts.join(shared.dropDuplicates(["text_hash"]), "text_hash")
-        .select("text_hash", "lead", F.explode(F.array(words)).alias("words"))
-        .select("text_hash", "lead", F.explode(F.array(shingles(F.col("words")))).alias("set"))
+    sets = rows.select("text_hash", "rank", F.explode(F.array(words)).alias("words")).select(
+        "text_hash", "rank", F.explode(F.array(shingles(F.col("words")))).alias("set")
+    )
+    marked = sets.select("text_hash", "rank", F.slice(F.array_sort("set"), 1, SKETCH).alias("sketch"))
+    marked, _ = staged(
+        marked.groupBy("text_hash").agg(F.min("rank").alias("rank"), F.first("sketch").alias("sketch")), "sketches"
+    )
+    met = marked.select("text_hash", F.explode(F.slice("sketch", 1, KEYS)).alias("key"))
+    leads = met.groupBy("key").agg(F.min("text_hash").alias("lead"), F.max("text_hash").alias("most"))
+    pairs = (
+        met.join(leads.filter("lead < most").select("key", "lead"), "key")
+        .filter("text_hash <> lead").select("text_hash", "lead").distinct()
+    )
+    sketches = marked.select("text_hash", "sketch")
+    other = sketches.select(F.col("text_hash").alias("lead"), F.col("sketch").alias("other"))
+    alike, _ = staged(
+        pairs.join(sketches, "text_hash").join(other, "lead")
+        .filter(similarity(F.col("sketch"), F.col("other"), SKETCH) >= LEAST_SKETCH)
+        .select("text_hash", "lead"),
+        "alike",
     )
-    sets, _ = staged(sets, "sets")
-    first = sets.filter("text_hash = lead").dropDuplicates(["lead"]).select("lead", F.col("set").alias("lead_set"))
+    needed = alike.select("text_hash").union(alike.select("lead")).distinct()
+    needed = needed.join(marked.select("text_hash", "rank"), "text_hash")
+    # One row of each text, by its least rank; rows alike in both are one.
+    whole, _ = staged(
+        sets.join(needed, ["text_hash", "rank"]).groupBy("text_hash").agg(F.first("set").alias("set")), "sets"
+    )
+    first = whole.select(F.col("text_hash").alias("lead"), F.col("set").alias("lead_set"))
     both = F.size(F.array_intersect("set", "lead_set"))
-    return (
-        sets.filter("text_hash <> lead")
-        .join(first, "lead")
+    links = (
+        alike.join(whole, "text_hash").join(first, "lead")
         .filter(both >= LEAST * (F.size("set") + F.size("lead_set") - both) - 1e-9)
-        .select("text_hash", F.col("lead").alias("near"))
-        .dropDuplicates(["text_hash"])
+        .select(F.col("text_hash").alias("a"), F.col("lead").alias("b"))
+    )
+    near = components(links).withColumnRenamed("node", "text_hash")
+    named = marked.select("text_hash", "rank").join(near, "text_hash", "left").select(
+        "text_hash", "rank", F.coalesce("component", "text_hash").alias("signature")
     )
+    least = named.groupBy("signature").agg(F.min("rank").alias("first"))
+    named, _ = staged(named.join(least, "signature").select("text_hash", "signature", "first"), "classes")
+    return named
 
 
 def parts(tokens: Column) -> Column:
@@ -130,21 +167,20 @@ def dedup_lines(
     ``n_lines`` and ``n_dropped``."""
     rows = packed(docs)
     lines = F.split(F.col("row.text"), "\n", -1)
+    rank = F.when(F.col("id") == NO_ID, LAST_ID).otherwise(F.col("id"))
+    full = rows.filter(F.length("row.text") > 0).withColumn("rank", rank)
+    if by_content:
+        named = text_classes(full.select("text_hash", "rank", F.col("row.text").alias("text")))
+        full = full.drop("rank").join(named, "text_hash").withColumnRenamed("first", "rank")
     # Exploding an array of one keeps the optimizer from repeating its expression in every use.
     tokenized = (
-        rows.filter(F.length("row.text") > 0)
-        .select("id", "text_hash", F.explode(F.array(F.transform(lines, masked_tokens))).alias("lists"))
+        full.select("*", F.explode(F.array(F.transform(lines, masked_tokens))).alias("lists"))
         .select(
-            "id", "text_hash", F.when(F.col("id") == NO_ID, LAST_ID).otherwise(F.col("id")).alias("rank"),
-            signature(F.col("lists")).alias("signature"), F.transform("lists", parts).alias("lists"),
+            "id", "text_hash", "rank",
+            ("signature" if by_content else signature(F.col("lists")).alias("signature")),
+            F.transform("lists", parts).alias("lists"),
         )
     )
-    if by_content:
-        marked, _ = staged(tokenized.select("text_hash", "signature").distinct(), "signatures")
-        near = near_copies(marked, rows.select("text_hash", F.col("row.text").alias("text")))
-        tokenized = tokenized.join(near, "text_hash", "left").withColumn(
-            "signature", F.coalesce("near", "text_hash")
-        )
     found = (
         tokenized.select("id", "text_hash", "rank", "signature", F.posexplode("lists").alias("at", "line"))
         .filter(F.col("line.n") >= min_tokens)
