@@ -92,10 +92,13 @@ def text_classes(rows: DataFrame) -> DataFrame:
     a key, so a large group stays linear; texts of one class share nearly all their keys.
     """
     words = F.split(F.btrim(F.lower("text"), F.lit(SPACES)), r"\s+", -1)
-    sets = rows.select("text_hash", "rank", F.explode(F.array(words)).alias("words")).select(
-        "text_hash", "rank", F.explode(F.array(shingles(F.col("words")))).alias("set")
-    )
-    marked = sets.select("text_hash", "rank", F.slice(F.array_sort("set"), 1, SKETCH).alias("sketch"))
+
+    def sets_of(texts: DataFrame) -> DataFrame:
+        return texts.select("text_hash", "rank", F.explode(F.array(words)).alias("words")).select(
+            "text_hash", "rank", F.explode(F.array(shingles(F.col("words")))).alias("set")
+        )
+
+    marked = sets_of(rows).select("text_hash", "rank", F.slice(F.array_sort("set"), 1, SKETCH).alias("sketch"))
     marked, _ = staged(
         marked.groupBy("text_hash").agg(F.min("rank").alias("rank"), F.first("sketch").alias("sketch")), "sketches"
     )
@@ -114,10 +117,11 @@ def text_classes(rows: DataFrame) -> DataFrame:
         "alike",
     )
     needed = alike.select("text_hash").union(alike.select("lead")).distinct()
-    needed = needed.join(marked.select("text_hash", "rank"), "text_hash")
+    needed, _ = staged(needed.join(marked.select("text_hash", "rank"), "text_hash"), "needed")
     # One row of each text, by its least rank; rows alike in both are one.
     whole, _ = staged(
-        sets.join(needed, ["text_hash", "rank"]).groupBy("text_hash").agg(F.first("set").alias("set")), "sets"
+        sets_of(rows.join(needed, ["text_hash", "rank"])).groupBy("text_hash").agg(F.first("set").alias("set")),
+        "sets",
     )
     first = whole.select(F.col("text_hash").alias("lead"), F.col("set").alias("lead_set"))
     both = F.size(F.array_intersect("set", "lead_set"))
