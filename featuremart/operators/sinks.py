@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from featuremart.operators.scratch import stage
-from featuremart.operators.snapshots import list_partitions
+from featuremart.operators import publish
+from featuremart.operators.publish import partition_spec
+from featuremart.operators.scratch import forget
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -48,25 +48,7 @@ def sorted_output(df: DataFrame, *columns: str) -> DataFrame:
 
 def drop_partition(spark: SparkSession, table: str, **values: str) -> None:
     """Drop one partition of a catalog table, if it is there."""
-    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(values)})")
-
-
-def _spec(values: dict[str, str]) -> str:
-    quoted = {n: v.replace("\\", "\\\\").replace("'", "\\'") for n, v in values.items()}
-    return ", ".join(f"{name}='{value}'" for name, value in quoted.items())
-
-
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({partition_spec(values)})")
 
 
 def write_snapshot(
@@ -79,6 +61,8 @@ def write_snapshot(
     rebalance: bool = True,
     statistics: bool = True,
     location: str | None = None,
+    former: publish.Version | None = None,
+    keep: int = 2,
 ) -> bool:
     """Replace one snapshot of a catalog table and tell whether anything was written.
 
@@ -87,9 +71,10 @@ def write_snapshot(
     an earlier run that the result lacks are dropped. The table is made when it is not there yet. A
     result whose columns are not those of the table is an error.
 
-    The write always runs in dynamic overwrite mode, whatever the session's: rows go to a staging
-    folder and replace the partitions when the job commits, so a failed run leaves the old
-    snapshot as it was. A result without rows empties the snapshot.
+    Rows go to a folder of their own and are published in one step (see ``publish``). A run that fails
+    before that leaves the old snapshot as it was, and so does one that finds that another writer has
+    published the snapshot since ``former``, the version at the start unless given: a ``Conflict``.
+    ``keep`` versions stay for readers that are still at work. A result without rows empties the snapshot.
 
     ``rebalance`` lets Spark size the files from what the shuffle measured (set the size with
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and split a partition that is too
@@ -98,15 +83,11 @@ def write_snapshot(
     spark = df.sparkSession
     in_batches = batch is not None or "batch" in df.columns
     spread = in_batches and batch is None
-    if rebalance:
-        # Written once to scratch: looking at the rows must not run the whole plan twice.
-        df = stage(df, "checked")
-    is_empty = df.isEmpty()
-    if skip_if_empty and is_empty:
-        return False
     partitions = ["ds", "batch"] if in_batches else ["ds"]
     out = audit_columns(df, ds, modified, batch)
     if not spark.catalog.tableExists(table):
+        if skip_if_empty and df.isEmpty():
+            return False
         empty = out.filter(F.lit(False)).write.partitionBy(*partitions).format("parquet")
         (empty.option("path", location) if location else empty).saveAsTable(table)
     columns = spark.table(table).columns
@@ -114,22 +95,34 @@ def write_snapshot(
         odd = sorted(set(columns) ^ set(out.columns))
         raise ValueError(f"{table} and the result differ in the columns {odd}")
     fixed = {"ds": ds} if batch is None else {"ds": ds, "batch": batch}
-    out = out.select(*columns)
+    former = former or publish.adopt(spark, table, ds)
+    out = out.select(*[c for c in columns if c not in fixed])
     if rebalance:
         out = out.hint("rebalance", *([F.col("batch")] if spread else []))
-    with _setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
-        out.write.insertInto(table, overwrite=True)
+    folder = publish.new_folder(spark, table, ds)
+    (out.write.partitionBy("batch") if spread else out.write).parquet(folder)
+    if skip_if_empty and spark.read.schema(out.schema).parquet(folder).isEmpty():
+        forget(spark, folder)
+        return False
     if spread:
-        kept = {row.batch for row in df.select("batch").distinct().collect()}
-        for old in list_partitions(spark, table) or ():
-            if old["ds"] == ds and old["batch"] not in kept:
-                drop_partition(spark, table, **old)
-    elif is_empty:
-        drop_partition(spark, table, **fixed)
-        spark.sql(f"ALTER TABLE {table} ADD PARTITION ({_spec(fixed)})")
+        folders = publish.written_batches(spark, folder, out.schema)
+        if None in folders:
+            forget(spark, folder)
+            raise ValueError("a row has no batch")
+    elif batch is not None:
+        folders = {**former.folders, batch: folder}
+    else:
+        folders = {publish.WHOLE: folder}
+    try:
+        publish.commit(spark, table, ds, former, folders)
+    except publish.Conflict:
+        forget(spark, folder)
+        raise
+    publish.settle(spark, table, ds)
+    publish.vacuum(spark, table, ds, keep)
     if statistics:
         free = [name for name in partitions if name not in fixed]
-        for_partitions = ", ".join([_spec(fixed), *free])
+        for_partitions = ", ".join([partition_spec(fixed), *free])
         spark.sql(f"ANALYZE TABLE {table} PARTITION ({for_partitions}) COMPUTE STATISTICS")
     return True
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,8 +30,9 @@ def list_partitions(spark: SparkSession, table: str) -> list[dict[str, str]] | N
     ]
     if not names:
         return None
+    # Names of columns and values are escaped as in paths.
     return [
-        dict(part.split("=", 1) for part in name.split("/"))
+        dict(map(unquote, part.split("=", 1)) for part in name.split("/"))
         for name in sorted(names, reverse=True)
     ]
 

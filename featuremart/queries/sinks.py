@@ -4,7 +4,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from featuremart.operators import sinks
+from featuremart.operators import publish, sinks
 from featuremart.operators.scratch import scratch_path, stage
 from featuremart.plans.customer_pool import first_open_date
 from featuremart.plans.portfolio import portfolio_rollup
@@ -134,3 +134,17 @@ def stage_rollup(bank):
     return doubles(
         staged.select("user_id", "saving_casa_aktif_count_na", "saving_casa_aktif_sum_na")
     )
+
+
+@query("""
+    SELECT user_id, acct_num, '20010620' AS ds, lpad(CAST(status AS VARCHAR), 2, '0') AS batch
+    FROM saving_now
+""")
+def publish_snapshot(bank):
+    """Read from the log after a version with other batches was replaced, and one batch once more."""
+    table = ScratchTable(bank, "published")
+    rows = bank.saving.select("user_id", "acct_num", F.lpad(F.col("status").cast("string"), 2, "0").alias("batch"))
+    table.write(rows.withColumn("batch", F.concat(F.lit("x"), "batch")), PARAMS.ds)
+    table.write(rows, PARAMS.ds)
+    table.write(rows.filter("batch = '01'").drop("batch"), PARAMS.ds, batch="01")
+    return publish.read_snapshot(bank.spark, table.name, PARAMS.ds).select("user_id", "acct_num", "ds", "batch")
