@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from featuremart.operators.aggregates import median_by, number_or_null
+from featuremart.operators.selection import exact_medians
 
 MAX_BROADCAST_ROWS = 100_000
 MAX_MODEL_NODES = 1_000_000
@@ -27,7 +28,8 @@ def impute_median(
 ) -> DataFrame:
     """Replace missing numbers by the median of the row's scoring batch.
 
-    With ``batch`` None the medians are those of all rows, by Spark's exact percentile.
+    With ``batch`` None the medians are those of all rows, narrowed down in a few passes (see
+    ``selection``), so that no task holds a column's values.
 
     Columns come back as doubles; a batch without any value keeps NULL. A batch has a fixed
     number of rows, so no task holds more values than that. There is one row of medians per
@@ -35,15 +37,10 @@ def impute_median(
     joined as Spark sees fit otherwise.
     """
     if batch is None:
-        whole = df.agg(
-            *[F.median(number_or_null(F.col(c).cast("double"))).alias(f"_median_{c}") for c in columns]
-        )
-        filled = {
-            c: F.coalesce(number_or_null(F.col(c).cast("double")), F.col(f"_median_{c}"))
-            for c in columns
-        }
-        # One row.
-        return df.join(F.broadcast(whole), F.lit(True)).withColumns(filled).select(*df.columns)
+        filled = {}
+        for name, median in exact_medians(df, columns).items():
+            filled[name] = F.coalesce(number_or_null(F.col(name).cast("double")), F.lit(median).cast("double"))
+        return df.withColumns(filled).select(*df.columns)
     medians = median_by(df, batch, columns).select(
         batch, *[F.col(c).alias(f"_median_{c}") for c in columns]
     )

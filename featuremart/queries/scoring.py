@@ -46,6 +46,18 @@ def impute_median(bank):
     return scoring.impute_median(rows, ["balance", "status"], "batch")
 
 
+@query(f"""
+    SELECT a.acct_num, coalesce(a.balance, m.balance) AS balance,
+           coalesce(CAST(a.status AS DOUBLE), m.status) AS status
+    FROM ({ACCOUNTS}) a
+    CROSS JOIN (SELECT median(balance) AS balance, median(CAST(status AS DOUBLE)) AS status
+                FROM ({ACCOUNTS}) b) m
+""")
+def impute_global_median(bank):
+    rows = _accounts(bank).select("acct_num", "balance", "status")
+    return scoring.impute_median(rows, ["balance", "status"], None)
+
+
 @query("""
     SELECT 'type' AS feature, type AS label,
            CAST(dense_rank() OVER (ORDER BY type) - 1 AS INTEGER) AS code
