@@ -73,6 +73,16 @@ def _numbers(spark: SparkSession, table: str, ds: str) -> list[int]:
     return sorted(int(row.partition.rsplit("=", 1)[1]) for row in found.collect())
 
 
+def newest_numbers(spark: SparkSession, table: str) -> dict[str, int]:
+    """The newest version of every published snapshot, from one question to the catalog."""
+    if not spark.catalog.tableExists(log_table(table)):
+        return {}
+    found: dict[str, int] = {}
+    for values in list_partitions(spark, log_table(table)) or ():
+        found[values["ds"]] = max(found.get(values["ds"], 0), int(values["version"]))
+    return found
+
+
 def _load(spark: SparkSession, table: str, ds: str, number: int) -> Version:
     rows = spark.table(log_table(table)).filter(
         (F.col("ds") == ds) & (F.col("version") == _name(number))
@@ -162,10 +172,15 @@ def written_batches(spark: SparkSession, folder: str, schema: StructType) -> dic
     return {row.batch: unquote(row.folder) for row in files.distinct().collect()}
 
 
-def read_snapshot(spark: SparkSession, table: str, ds: str) -> DataFrame:
-    """The newest published version of a snapshot, whole, with the columns of the table."""
-    version = current(spark, table, ds)
-    if not version.number:
+def numbers(spark: SparkSession, table: str, ds: str) -> list[int]:
+    """The versions of a snapshot that are still there, the newest last."""
+    return _numbers(spark, table, ds)
+
+
+def read_snapshot(spark: SparkSession, table: str, ds: str, number: int | None = None) -> DataFrame:
+    """A published version of a snapshot, the newest unless given, whole, with the columns of the table."""
+    version = current(spark, table, ds) if number is None else _load(spark, table, ds, number)
+    if not version.number or (number is not None and number not in _numbers(spark, table, ds)):
         raise NoSnapshot(f"{table} has no published snapshot {ds}")
     schema = spark.table(table).schema
     names = {"ds", "batch"} if WHOLE not in version.folders and "batch" in schema.names else {"ds"}

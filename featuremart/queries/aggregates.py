@@ -1,5 +1,7 @@
 """Aggregates."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from featuremart.operators.aggregates import (
@@ -9,12 +11,13 @@ from featuremart.operators.aggregates import (
     sum_or_zero,
 )
 from featuremart.operators.aggregates import measure_matrix as matrix_of
+from featuremart.operators.scratch import scratch_path
 from featuremart.operators.windows import batch_of
-from featuremart.oracles.parts import MATRIX_AS_DOUBLES
+from featuremart.oracles.parts import MATRIX_AS_DOUBLES, income_remark, other_remark
 from featuremart.plans.balances import balance_accounts
 from featuremart.plans.customer_pool import account_summary
 from featuremart.plans.customer_pool import first_open_date as first_day
-from featuremart.plans.income import income_by_user
+from featuremart.plans.income import income_by_user, kept_income, moved_income
 from featuremart.plans.portfolio import portfolio_rollup
 from featuremart.plans.ratios import balance_totals, flow_measures, flows_by_user, ratio
 from featuremart.plans.ratios import ledger_entries
@@ -161,3 +164,19 @@ def balance_flow_ratio(bank):
         ratio("casa_sum", "credit_sum").alias("casa_per_credit"),
         ratio("casatd_sum", "debit_sum").alias("casatd_per_debit"),
     )
+
+
+@query(f"""
+    SELECT try_cast(tr_acc AS BIGINT) AS account, CAST(sum(amt) AS DOUBLE) AS income FROM trx_clean
+    WHERE trx_day BETWEEN '20010603' AND '20010608' AND try_cast(tr_acc AS BIGINT) IS NOT NULL
+      AND {income_remark('trremk', 'trancd')} AND {other_remark('trremk')} AND tr_type = 'C'
+    GROUP BY account
+""")
+def income_moving_window(bank):
+    """Kept day totals; the window moves by two days, and one day comes late."""
+    name = f"featuremart_days_{uuid.uuid4().hex}"
+    kept = kept_income(bank.spark, name, scratch_path(bank.spark, "days"))
+    early = bank.trx.filter("NOT (month = '06' AND day = '05' AND tr_acc >= '000000000500')")
+    moved_income(kept, early, "20010601", "20010606", bank.modified)
+    income = moved_income(kept, bank.trx, "20010603", "20010608", bank.modified, late=["20010605"])
+    return doubles(income)

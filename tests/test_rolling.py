@@ -1,0 +1,120 @@
+"""Kept day totals and windows equal a sum over the whole window, and read only what changed."""
+
+import random
+import uuid
+from collections import Counter
+from datetime import datetime
+
+import pytest
+
+from featuremart.operators import publish
+from featuremart.operators.rolling import ENTRIES, MONEY, MovingTotals, day_names
+from featuremart.operators.snapshots import NoSnapshot
+from featuremart.plans import income
+
+MODIFIED = datetime(2023, 3, 6)
+
+
+@pytest.fixture
+def kept(spark):
+    name = f"kept_{uuid.uuid4().hex}"
+    yield income.kept_income(spark, name)
+    for table in (name, f"{name}_windows"):
+        for each in (table, publish.log_table(table)):
+            spark.sql(f"DROP TABLE IF EXISTS {each}")
+
+
+def entry(account, day, amount, remark="GAJI"):
+    return account, "C", amount, remark, "100", day[:4], day[4:6], day[6:]
+
+
+def ledger(spark, entries):
+    return spark.createDataFrame(
+        entries, "tr_acc string, tr_type string, amt double, trremk string, trancd string, year string, month string, day string"
+    )
+
+
+def content(df):
+    return Counter((r.account, r.income) for r in df.collect())
+
+
+def test_ten_windows_with_late_rows(spark, kept, monkeypatch):
+    rng = random.Random(4)
+    days = day_names("20230226", "20230315")
+    entries = [
+        entry(f"{rng.randrange(12):06d}", d, rng.randrange(-500, 5000) / 100, rng.choice(["GAJI", "SALARY", "OTHER"]))
+        for d in days for _ in range(rng.randrange(6))
+    ]
+    read = []
+    whole = income.income_by_account
+
+    def watched(source, start, end, *extra):
+        read.append((start, end))
+        return whole(source, start, end, *extra)
+
+    for step in range(10):
+        start, end = days[step], days[step + 5]
+        late = []
+        if step in (3, 6):  # rows of two days come after those days were kept
+            late = [days[step + 2], days[step + 3]]
+            entries += [entry("000003", d, 77.25) for d in late] + [entry("999999", late[0], 1.0)]
+        if step == 8:  # and rows of an account go
+            entries = [e for e in entries if e[0] != "999999"]
+            late = days[step : step + 5]
+        source = ledger(spark, entries)
+        read.clear()
+        with monkeypatch.context() as patch:
+            patch.setattr(income, "income_by_account", watched)
+            got = income.moved_income(kept, source, start, end, MODIFIED, late)
+        assert content(got) == content(whole(source, start, end))
+        new = days[:6] if step == 0 else [end]
+        assert read == [(d, d) for d in sorted({*new, *late})]
+
+
+def totals(spark, *rows):
+    return spark.createDataFrame(list(rows), f"account bigint, income double, {ENTRIES} bigint")
+
+
+def test_a_move_reads_the_days_at_both_ends(spark, kept):
+    for i, day in enumerate(day_names("20230301", "20230310")):
+        kept.put_day(day, totals(spark, (1, float(i), 1), (i, 0.1, 1)), MODIFIED)
+    kept.move("w", "20230301", "20230307", MODIFIED)
+    steps, upon, *_ = kept.change("w", "20230302", "20230308")
+    assert upon and [(d, sign) for d, _, sign in steps] == [("20230308", 1), ("20230301", -1)]
+    got = kept.move("w", "20230302", "20230308", MODIFIED)
+    assert {r.account: (float(r.income), r.entries) for r in got.collect()}[1] == (28.1, 8)
+    number = publish.current(spark, kept.windows, "w").number
+    kept.move("w", "20230302", "20230308", MODIFIED)  # nothing changed, nothing is written
+    assert publish.current(spark, kept.windows, "w").number == number
+
+
+def test_a_version_that_is_gone_means_summing_anew(spark, kept):
+    for day in ("20230301", "20230302", "20230303"):
+        kept.put_day(day, totals(spark, (1, 1.0, 1)), MODIFIED)
+    kept.move("w", "20230301", "20230303", MODIFIED)
+    for value in (5.0, 6.0, 7.0):
+        kept.put_day("20230302", totals(spark, (1, value, 1)), MODIFIED)
+    steps, upon, *_ = kept.change("w", "20230301", "20230303")
+    assert not upon and len(steps) == 3
+    assert [float(r.income) for r in kept.move("w", "20230301", "20230303", MODIFIED).collect()] == [9.0]
+
+
+def test_two_runs_that_move_one_window(spark, kept, monkeypatch):
+    for day in day_names("20230301", "20230305"):
+        kept.put_day(day, totals(spark, (1, 1.0, 1)), MODIFIED)
+    kept.move("w", "20230301", "20230304", MODIFIED)
+    started = kept.change("w", "20230302", "20230305")
+    kept.move("w", "20230302", "20230305", MODIFIED)
+    monkeypatch.setattr(MovingTotals, "change", lambda *_: started)
+    with pytest.raises(publish.Conflict):
+        kept.move("w", "20230302", "20230305", MODIFIED)
+    assert [r.entries for r in kept.totals("w").collect()] == [4]
+
+
+def test_days_without_rows_and_windows_without_days(spark, kept):
+    with pytest.raises(NoSnapshot):
+        kept.move("w", "20230301", "20230302", MODIFIED)
+    kept.put_day("20230301", totals(spark, (1, 2.0, 1)).limit(0), MODIFIED)
+    assert kept.move("w", "20230301", "20230302", MODIFIED).count() == 0
+    assert kept.missing_days(["20230302", "20230301"]) == ["20230302"]
+    assert MONEY == "decimal(38,2)"
