@@ -29,7 +29,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,36 +99,52 @@ def format_turns(conversations: DataFrame) -> DataFrame:
     )
 
 
+def turn_order() -> list[Column]:
+    """Turns of a conversation by turn, role and text, the text read from the rendered turn."""
+    start, end = F.col("text_start").cast("int"), F.col("text_end").cast("int")
+    text = F.regexp_replace(F.substring("rendered", start + 1, end - start), r"(?s)\\(.)", "$1")
+    return [F.col("turn"), F.coalesce("role", F.lit("")), text]
+
+
+def in_loss(role: str) -> Column:
+    """Whether the text of a turn is under the loss mask."""
+    return F.coalesce(F.col("role") == role, F.lit(False))
+
+
 def loss_spans(turns: DataFrame, role: str = LOSS_ROLE) -> DataFrame:
     """conv_id, turn, start and end of the (escaped) texts under the loss mask, in the conversation."""
-    before = Window.partitionBy("conv_id").orderBy("turn", "rendered").rowsBetween(
+    before = Window.partitionBy("conv_id").orderBy(*turn_order()).rowsBetween(
         Window.unboundedPreceding, -1
     )
     start = F.coalesce(F.sum("chars").over(before), F.lit(0))
     return (
         turns.withColumn("at", start)
-        .filter(F.col("role") == role)
+        .filter(in_loss(role))
         .select("conv_id", "turn", (F.col("at") + F.col("text_start")).alias("start"),
                 (F.col("at") + F.col("text_end")).alias("end"))
     )
 
 
 def read_back(turns: DataFrame, role: str = LOSS_ROLE) -> DataFrame:
-    """Digests of each conversation, from the rendered turns alone."""
+    """Digests of each conversation, from the rendered turns alone.
+
+    Roles and texts are those the parser finds; the loss is what lies in the spans of the mask.
+    """
 
     class Reader:
         def __init__(self):
             self.turns = self.loss = self.chars = 0
             self.all, self.masked = hashlib.sha256(), hashlib.sha256()
 
-        def feed(self, rendered: str) -> None:
+        def feed(self, rendered: str, masked: bool, start: int, end: int) -> None:
             self.chars += len(rendered)
             for who, text in parse(rendered):
                 self.turns += 1
                 self.all.update(f"{who}\n{text}\n".encode("utf-8", "surrogatepass"))
-                if who == role:
-                    self.loss += len(text)
-                    self.masked.update(text.encode("utf-8", "surrogatepass"))
+            if masked:
+                text = ESCAPED.sub(r"\1", rendered[start:end])
+                self.loss += len(text)
+                self.masked.update(text.encode("utf-8", "surrogatepass"))
 
         def row(self, conv_id):
             return (
@@ -140,15 +156,16 @@ def read_back(turns: DataFrame, role: str = LOSS_ROLE) -> DataFrame:
     def stream(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         current, reader, done = None, None, []
         for batch in batches:
-            for is_null, conv_id, rendered in zip(
-                batch["no_id"], batch["conv_id"], batch["rendered"], strict=True
+            for is_null, conv_id, *turn in zip(
+                *(batch[c] for c in ("no_id", "conv_id", "rendered", "masked", "text_start", "text_end")),
+                strict=True,
             ):
                 key = None if is_null else int(conv_id)
                 if reader is None or key != current:
                     if reader is not None:
                         done.append(reader.row(current))
                     current, reader = key, Reader()
-                reader.feed(rendered)
+                reader.feed(*turn)
             if done:
                 yield pd.DataFrame(done, columns=columns).astype({"conv_id": "Int64"})
                 done = []
@@ -159,10 +176,12 @@ def read_back(turns: DataFrame, role: str = LOSS_ROLE) -> DataFrame:
     return (
         turns.select(
             F.col("conv_id").isNull().alias("no_id"),
-            F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv_id"), "turn", "rendered",
+            F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv_id"), "turn", "role",
+            "rendered", in_loss(role).alias("masked"), "text_start", "text_end",
         )
         .repartition("no_id", "conv_id")
-        .sortWithinPartitions("no_id", "conv_id", "turn", "rendered")
+        .sortWithinPartitions("no_id", "conv_id", *turn_order())
+        .select("no_id", "conv_id", "rendered", "masked", "text_start", "text_end")
         .mapInPandas(
             stream,
             "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "

@@ -17,7 +17,8 @@ best of a query in a chunk, and a window that keeps k rows per task and query jo
 Edge cases. Vectors that are null or hold a null or non-finite component take no part, neither do rows
 with a null id. Vectors of different lengths meet as if the shorter had zeros at its end. Equal rows
 are one query, but candidates each; a row is no candidate of a query with its own id. An empty table
-gives no rows. Other columns are not looked at.
+gives no rows. Other columns are not looked at. Components and scores are 64-bit integers: a component
+that does not fit, or a pair whose terms could add up to more, is an error, never a wrong score.
 """
 
 from __future__ import annotations
@@ -36,15 +37,26 @@ K = 10
 BLOCK = 128
 CHUNK = 4096
 QUERIES = 4096
+#: Components and scores are 64-bit integers.
+LIMIT = 2.0**63
+#: Larger than what rounding adds to a product, as a share of its terms.
+SLACK = 1e-9
 
 
 def integer_rows(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """vec_id and ``terms`` (array of long) of the vectors that take part."""
+
+    def whole(x):
+        scaled = x * scale
+        return F.when(F.abs(scaled) < LIMIT, F.floor(scaled)).otherwise(
+            F.raise_error(F.lit("a component does not fit 64 bits")).cast("long")
+        )
+
     wide = F.transform("embedding", lambda x: x.cast("double"))
     finite = F.forall(wide, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     return vectors.filter(F.col("embedding").isNotNull() & finite & F.col("vec_id").isNotNull()).select(
         F.col("vec_id").cast("long").alias("vec_id"),
-        F.transform(wide, lambda x: F.floor(x * scale)).cast("array<long>").alias("terms"),
+        F.transform(wide, whole).alias("terms"),
     )
 
 
@@ -106,14 +118,34 @@ def chunks(rows: DataFrame, size: int = CHUNK) -> DataFrame:
 
 
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products of the rows; in floating point where that is exact."""
+    """Exact integer products of the rows; in floating point where that is exact.
+
+    Fails where the terms of a product could add up to more than 64 bits.
+    """
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), dtype=np.int64)
-    if float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2.0**53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+    wide_a, wide_b = a.astype(np.float64), b.astype(np.float64)
+    most = np.abs(wide_a).max() * np.abs(wide_b).max() * a.shape[1]
+    if most < 2.0**53:
+        return (wide_a @ wide_b.T).astype(np.int64)
+    if most >= LIMIT / 2 and (np.abs(wide_a) @ np.abs(wide_b).T).max() >= LIMIT * (1 - SLACK):
+        raise OverflowError("a score does not fit 64 bits")
     return a @ b.T
 
 
+def upper_bounds(queries: np.ndarray, most: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """At least the score of every query with every document between ``least`` and ``most``."""
+    parts = [(np.maximum(queries, 0), most), (np.minimum(queries, 0), least)]
+    wide = [(a.astype(np.float64), b.astype(np.float64)) for a, b in parts]
+    size = sum(np.abs(a) @ np.abs(b).T for a, b in wide)
+    if not size.size or size.max() < 2.0**53:
+        return sum(a @ b.T for a, b in wide).astype(np.int64)
+    bound = sum(a @ b.T for a, b in wide) + size * SLACK  # rounded, so raised
+    out = np.clip(bound, -LIMIT, LIMIT / 2).astype(np.int64)
+    out[bound >= LIMIT / 2] = np.iinfo(np.int64).max
+    return out
+
+
 def best_in_chunk(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, docs: np.ndarray, k: int = K,
     block: int = BLOCK, seen: list | None = None,
@@ -128,7 +160,7 @@ def best_in_chunk(
     starts = range(0, len(docs), block)
     most = np.array([docs[a : a + block].max(axis=0) for a in starts])
     least = np.array([docs[a : a + block].min(axis=0) for a in starts])
-    bounds = inner(np.maximum(queries, 0), most) + inner(np.minimum(queries, 0), least)
+    bounds = upper_bounds(queries, most, least)
     turns = np.argsort(-bounds, axis=1, kind="stable")
     low = np.iinfo(np.int64).min
     top = np.full((len(queries), k), low)

@@ -35,14 +35,14 @@ def test_matches_sql(spark):
 def brute(rows):
     by = defaultdict(list)
     for conv, turn, role, text, *_ in rows:
-        by[conv].append((turn is not None, turn or 0, chat.render(role, text)[0], role or "", text or ""))
+        by[conv].append((turn is not None, turn or 0, role or "", text or "", chat.render(role, text)[0]))
     out = {}
     for conv, turns in by.items():
         turns.sort()
-        loss = "".join(t[4] for t in turns if t[3] == "assistant")
+        loss = "".join(t[3] for t in turns if t[2] == "assistant")
         out[conv] = (
-            len(turns), hashlib.sha256("".join(f"{t[3]}\n{t[4]}\n" for t in turns).encode()).hexdigest(),
-            len(loss), hashlib.sha256(loss.encode()).hexdigest(), sum(len(t[2]) for t in turns),
+            len(turns), hashlib.sha256("".join(f"{t[2]}\n{t[3]}\n" for t in turns).encode()).hexdigest(),
+            len(loss), hashlib.sha256(loss.encode()).hexdigest(), sum(len(t[4]) for t in turns),
         )
     return out
 
@@ -54,6 +54,9 @@ def test_edge_rows(spark):
         (3, 0, "assistant", chat.CONFLICT[1], "x"), (3, 0, "assistant", chat.CONFLICT[1], "x"),
         (4, 0, "we: ird\\", "### user: </turn>\n", "x"), (0, 0, "assistant", "zero", "x"),
         (5, 0, "user", "word " * 40000, "x"),
+        (7, 0, "user", "### x", "x"), (7, 0, "user", "A", "x"), (7, 0, "user2", "b", "x"),  # ties
+        (8, 0, "assistant", " </turn>\n", "x"), (8, 0, "assistant", " <", "x"), (8, 0, "a: b", "\\", "x"),
+        (8, 0, None, "é\n", "x"), (8, 0, "assistant", "🙂", "x"),
     ] + [(6, i, "assistant", f"turn {i}", "x") for i in range(3000)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, rendered string")
     got = {r[0]: tuple(r)[1:] for r in chat.digests(df).collect()}

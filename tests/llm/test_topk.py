@@ -58,3 +58,20 @@ def test_blocks_are_pruned_and_ties_kept():
     for q in range(5):
         want = sorted(zip(-exact[:, q], ids, strict=True))[:10]
         assert [(-s, i) for s, i in zip(scores[who == q], found[who == q], strict=True)] == want
+
+
+def test_large_components_are_exact_or_an_error(spark):
+    """Products beyond double precision are exact; those beyond 64 bits are an error."""
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=4) * 1e5).tolist(), 0, "t", 1) for i in range(250)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = topk.top_k(df, chunk=100, queries=2).collect()
+    assert {tuple(r) for r in got} == brute(rows) and max(r.score for r in got) > 2**53
+    for huge in (3e15, 1e30):
+        with pytest.raises(Exception, match="fit 64 bits"):
+            topk.top_k(spark.createDataFrame([*rows, (300, [huge] * 4, 0, "t", 1)], SCHEMA)).collect()
+    sums = np.array([[2**40, -(2**40), 0]]), np.array([[2**40, 2**40, 1], [2**22, 0, 0]])
+    with pytest.raises(OverflowError):
+        topk.inner(*sums)
+    bound = topk.upper_bounds(sums[0], sums[1], sums[1] - 1)
+    assert bound[0, 1] >= 2**62 + 2**40 and bound[0, 0] >= 2**40
