@@ -67,7 +67,9 @@ def fit_labels(df: DataFrame, *columns: str) -> DataFrame:
 def apply_labels(df: DataFrame, fitted: DataFrame, column: str, unseen: str = "error") -> DataFrame:
     """Replace the labels of a column by their codes from the label table, by a join.
 
-    For encoders of any size; ``encode_labels`` does the same by an expression for small ones.
+    The table never comes to the driver. Spark broadcasts it below the size limit of the session and
+    shuffles it beyond, where adaptive execution splits a frequent label. A label that was not there
+    at fitting (NULL too) is an error, becomes NULL (``null``), or gets one code past the last (``keep``).
     """
     codes = fitted.filter(F.col("feature") == column).select(
         F.col("label").alias(column), F.col("code").alias("_code")
@@ -89,29 +91,10 @@ def apply_labels(df: DataFrame, fitted: DataFrame, column: str, unseen: str = "e
 
 
 def encode_labels(
-    df: DataFrame, labels: Mapping[str, Sequence[str]], unseen: str = "error"
+    df: DataFrame, fitted: DataFrame, columns: Sequence[str], unseen: str = "error"
 ) -> DataFrame:
-    """Replace labels by their codes.
-
-    A label that was not there at fitting (NULL too) is an error, becomes NULL (``null``), or
-    gets one code past the last (``keep``).
-    """
-    return df.withColumns(
-        {column: label_code(F.col(column), known, unseen) for column, known in labels.items()}
-    )
-
-
-def label_code(value: Column, known: Sequence[str], unseen: str = "error") -> Column:
-    place = F.array_position(F.array(*[F.lit(label) for label in known]), value)
-    code = F.when(place > 0, (place - 1).cast("int"))
-    if unseen == "null":
-        return code
-    if unseen == "keep":
-        return F.coalesce(code, F.lit(len(known)))
-    if unseen == "error":
-        message = F.concat(F.lit("label not seen when fitted: "), F.coalesce(value, F.lit("NULL")))
-        return F.coalesce(code, F.raise_error(message).cast("int"))
-    raise ValueError(f"unseen must be error, null or keep, not {unseen}")
+    """``apply_labels`` for several columns."""
+    return reduce(lambda out, column: apply_labels(out, fitted, column, unseen), columns, df)
 
 
 @dataclass(frozen=True)
@@ -274,12 +257,14 @@ def label_table(spark: SparkSession, fitted: Mapping[str, Sequence[str]]) -> Dat
     return spark.createDataFrame(rows, "feature string, label string, code int")
 
 
-def labels_from_table(df: DataFrame) -> dict[str, list[str]]:
-    """The inverse of ``label_table``; the size of the table is checked first."""
-    rows = df.select("feature", "label", "code").limit(MAX_MODEL_NODES + 1).collect()
-    if len(rows) > MAX_MODEL_NODES:
-        raise ValueError("label table is too large")
-    out: dict[str, list[str]] = {}
-    for feature, label, _ in sorted(rows, key=lambda row: (row.feature, row.code)):
-        out.setdefault(feature, []).append(label)
-    return out
+def fitted_labels(labels: DataFrame, version: str | None = None) -> DataFrame:
+    """The labels (feature, label, code) of one version of a label table, the greatest if not named.
+
+    A table without a column ``version`` is one version. Choosing is part of the plan, no job of its own.
+    """
+    if "version" not in labels.columns:
+        if version is not None:
+            raise ValueError("the label table has no versions")
+        return labels.select("feature", "label", "code")
+    wanted = F.lit(version) if version is not None else labels.agg(F.max("version")).scalar()
+    return labels.filter(F.col("version") == wanted).select("feature", "label", "code")

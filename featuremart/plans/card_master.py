@@ -58,9 +58,9 @@ def card_master(
     crm_ids = crm.filter(F.col("cust_nmbr").isNotNull()).select(
         F.col("cust_nmbr").alias("cust_number"), F.col("user_id").alias("crm_id")
     )
-    owners = skew_join(card_owners(holders, persons), crm_ids, "cust_number", "left").select(
-        "cust_number", override_user_id(F.col("user_id"), F.col("crm_id")).alias("user_id")
-    )
+    owners = skew_join(
+        card_owners(holders, persons), crm_ids, "cust_number", "left", null_keys=False
+    ).select("cust_number", override_user_id(F.col("user_id"), F.col("crm_id")).alias("user_id"))
     return skew_join(first_days, owners, "cust_number", "inner").select(
         "user_id", "acctno_cc", "open_date_cc"
     )

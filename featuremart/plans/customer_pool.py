@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from featuremart.functions.classes import (
     ACTIVE,
+    INCOME_CLASSES,
     LOWEST_INCOME,
     education_class,
     eligible_saving,
@@ -19,12 +20,19 @@ from featuremart.operators.aggregates import any_flag
 from featuremart.operators.joins import skew_join
 
 
-def account_summary(saving: DataFrame) -> DataFrame:
+# Stands for accounts without a user while users are joined; no trimmed id is a blank. A key that
+# is never NULL leaves both parts of a left join nothing to filter, so they share one shuffle.
+NO_USER = " "
+
+
+def account_summary(saving: DataFrame, no_user: str | None = None) -> DataFrame:
     """Per user: the first day of an eligible account, and whether any account is active.
 
-    Both come from one pass over the snapshot.
+    Both come from one pass over the snapshot. Accounts without a user count as one, known as
+    ``no_user``.
     """
-    return saving.groupBy(F.trim("user_id").alias("user_id")).agg(
+    user = F.trim("user_id") if no_user is None else F.coalesce(F.trim("user_id"), F.lit(no_user))
+    return saving.groupBy(user.alias("user_id")).agg(
         F.min(F.when(eligible_saving(saving), F.col("open_date"))).alias("open_date_saving"),
         any_flag(int_column(saving, "status") == ACTIVE).alias("is_active"),
     )
@@ -45,12 +53,41 @@ def known_income_class(income):
     return F.when(income.isNotNull(), income_class(income))
 
 
+def known_persons(persons: DataFrame) -> DataFrame:
+    """Persons with a user id, trimmed."""
+    return persons.filter(F.col("user_id").isNotNull()).withColumn("user_id", F.trim("user_id"))
+
+
+def second_incomes(income_backup: DataFrame) -> DataFrame:
+    """One row per user with the distinct income classes of the second source.
+
+    There are but a few classes (an income that is not stated is one of them), so the array is
+    short however often a user is listed.
+    """
+    stated = known_income_class(F.col("penghasilan_per_bulan"))
+    labels = [*INCOME_CLASSES, None]
+    found = income_backup.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
+        *[
+            any_flag(stated.eqNullSafe(F.lit(label).cast("string"))).alias(f"has_{i}")
+            for i, label in enumerate(labels)
+        ]
+    )
+    classes = [
+        F.when(F.col(f"has_{i}") == 1, F.struct(F.lit(label).cast("string").alias("income2")))
+        for i, label in enumerate(labels)
+    ]
+    return found.select("user_id", F.array_compact(F.array(*classes)).alias("incomes"))
+
+
 def person_attributes(persons: DataFrame, income_backup: DataFrame) -> DataFrame:
-    """Attributes of every person; income from the second source where the first has none."""
+    """Attributes of every person; income from the second source where the first has none.
+
+    A person with several classes in the second source gives a row for each of them.
+    """
     own = (
-        persons.filter(F.col("user_id").isNotNull())
+        known_persons(persons)
         .select(
-            F.trim("user_id").alias("user_id"),
+            "user_id",
             F.date_format("tanggal_lahir", "yyyy-MM-dd").alias("tanggal_lahir"),
             "jenis_kelamin",
             "kode_jenis_pekerjaan",
@@ -61,15 +98,14 @@ def person_attributes(persons: DataFrame, income_backup: DataFrame) -> DataFrame
         )
         .distinct()
     )
-    backup = (
-        income_backup.filter(F.col("user_id").isNotNull())
-        .select("user_id", known_income_class(F.col("penghasilan_per_bulan")).alias("income2"))
-        .distinct()
-    )
-    spread = [c for c in own.columns if c != "user_id"]
-    income = F.coalesce("income1", "income2", F.lit(LOWEST_INCOME))
-    return skew_join(own, backup, "user_id", "left").select(
-        "user_id", *spread[:-1], income.alias("penghasilan_per_bulan")
+    described = [c for c in own.columns if c != "income1"]
+    return (
+        own.join(second_incomes(income_backup), "user_id", "left")
+        .select(*own.columns, F.explode_outer("incomes").alias("second"))
+        .select(
+            *described,
+            F.coalesce("income1", "second.income2", F.lit(LOWEST_INCOME)).alias("penghasilan_per_bulan"),
+        )
     )
 
 
@@ -85,11 +121,12 @@ def customer_pool(
 
     A user is inactive when no account of the snapshot is active.
     """
-    users = account_summary(saving).filter(before(F.col("open_date_saving"), cutoff))
+    users = account_summary(saving, NO_USER).filter(before(F.col("open_date_saving"), cutoff))
     attributes = person_attributes(persons, income_backup)
     spread = [c for c in attributes.columns if c != "user_id"]
-    described = skew_join(users, attributes, "user_id", "left").select(
-        *users.columns,
+    described = skew_join(users, attributes, "user_id", "left", known_persons(persons), null_keys=False).select(
+        F.when(F.col("user_id") != NO_USER, F.col("user_id")).alias("user_id"),
+        *[c for c in users.columns if c != "user_id"],
         *spread[:-1],
         F.coalesce("penghasilan_per_bulan", F.lit(LOWEST_INCOME)).alias("penghasilan_per_bulan"),
     ).distinct()

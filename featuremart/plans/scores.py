@@ -2,18 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.functions.classes import (
-    EDUCATION_CLASSES,
-    INCOME_CLASSES,
-    OCCUPATION_CLASSES,
-    REGION_CLASSES,
-    UNDEFINED,
-)
 from featuremart.operators.scoring import (
     TreeModel,
     encode_labels,
@@ -36,25 +27,10 @@ CATEGORICAL = (
 )
 NUMERIC = tuple(name for name in FEATURES if name not in CATEGORICAL)
 
-# Labels in code-point order over all classes that exist: what an encoder fitted on data with
-# every class would hold.
-CLASS_LABELS: Mapping[str, Sequence[str]] = dict(
-    zip(
-        CATEGORICAL,
-        (
-            sorted([*EDUCATION_CLASSES, UNDEFINED]),
-            sorted([*OCCUPATION_CLASSES, UNDEFINED]),
-            sorted(INCOME_CLASSES),
-            sorted(REGION_CLASSES),
-        ),
-        strict=True,
-    )
-)
-
 
 def model_inputs(
     dataset: DataFrame,
-    labels: Mapping[str, Sequence[str]] = CLASS_LABELS,
+    labels: DataFrame,
     batch_size: int = BATCH_SIZE,
     unseen: str = "error",
     batches: int | None = None,
@@ -62,20 +38,21 @@ def model_inputs(
 ) -> DataFrame:
     """Rows with a region, in batches: numbers without gaps, labels as codes.
 
-    ``medians`` are taken per ``batch`` or over the whole snapshot (``global``).
+    ``labels`` is the fitted label table (feature, label, code). ``medians`` are taken per
+    ``batch`` or over the whole snapshot (``global``).
     """
     if medians not in ("batch", "global"):
         raise ValueError(f"medians must be batch or global, not {medians}")
     rows = dataset.withColumn("batch", batch_of(sequence_of(F.col("id")), batch_size))
     scope = "batch" if medians == "batch" else None
     rows = impute_median(rows.dropna(subset=[REGION]), NUMERIC, scope, batches)
-    return encode_labels(rows, labels, unseen)
+    return encode_labels(rows, labels, CATEGORICAL, unseen)
 
 
 def model_scores(
     dataset: DataFrame,
     model: TreeModel,
-    labels: Mapping[str, Sequence[str]] = CLASS_LABELS,
+    labels: DataFrame,
     batch_size: int = BATCH_SIZE,
     threshold: float = THRESHOLD,
     rows: int | None = None,

@@ -2,10 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from featuremart.operators.scoring import label_table
 from featuremart.oracles.parts import tree_case
-from featuremart.plans.scores import CATEGORICAL, CLASS_LABELS, NUMERIC, model_scores
+from featuremart.plans.scores import CATEGORICAL, NUMERIC, model_scores
 from featuremart.queries.registry import query, rounded, stamped
-from featuremart.sources.bank_model import CARD_MODEL, ENSEMBLE
+from featuremart.sources.bank_model import CARD_MODEL, CLASS_LABELS, ENSEMBLE
 
 
 @query("""
@@ -79,13 +80,13 @@ def scored(model) -> str:
 @query(scored(ENSEMBLE))
 def job_scores_ensemble(bank):
     """The scores of an ensemble of 160 trees over all features, in Arrow batches."""
-    return model_scores(bank.staged_dataset, ENSEMBLE, batch_size=250).select(
+    return model_scores(bank.staged_dataset, ENSEMBLE, label_table(bank.spark, CLASS_LABELS), batch_size=250).select(
         "id", "user_id", rounded("pred_proba"), F.col("is_treat"), "batch"
     )
 
 
 @query(scored(CARD_MODEL))
 def job_scores(bank):
-    return model_scores(bank.staged_dataset, CARD_MODEL, batch_size=250).select(
+    return model_scores(bank.staged_dataset, CARD_MODEL, label_table(bank.spark, CLASS_LABELS), batch_size=250).select(
         "id", "user_id", rounded("pred_proba"), F.col("is_treat"), "batch"
     )

@@ -16,7 +16,7 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 
-from featuremart.operators.scoring import TreeModel, labels_from_table
+from featuremart.operators.scoring import TreeModel, fitted_labels
 from featuremart.operators.scratch import scratch_scope
 from featuremart.operators.sinks import write_snapshot
 from featuremart.operators.snapshots import (
@@ -150,7 +150,7 @@ def run_job(
     run_date: date,
     names: Mapping[str, str] | None = None,
     model: TreeModel | None = None,
-    labels: Mapping[str, list[str]] | None = None,
+    labels: DataFrame | None = None,
     force: bool = False,
     modified: datetime | None = None,
     **options,
@@ -197,6 +197,7 @@ def main() -> None:
     )
     parser.add_argument("--model", help="node table of the model")
     parser.add_argument("--labels", help="label table of the encoders")
+    parser.add_argument("--labels-version", help="version of the label table, the greatest if not given")
     parser.add_argument("--unseen", choices=["error", "null", "keep"], default="error")
     parser.add_argument("--medians", choices=["batch", "global"], default="batch")
     parser.add_argument("--exclude-region", action="append", default=[])
@@ -213,7 +214,7 @@ def main() -> None:
         args.job,
         args.date,
         model=TreeModel.from_table(spark.read.table(args.model)) if args.model else None,
-        labels=labels_from_table(spark.read.table(args.labels)) if args.labels else None,
+        labels=fitted_labels(spark.read.table(args.labels), args.labels_version) if args.labels else None,
         force=args.force,
         **options,
     )

@@ -5,8 +5,31 @@ Columns: tree, node, feature, threshold, yes, no, missing, leaf.
 
 from __future__ import annotations
 
+from featuremart.functions.classes import (
+    EDUCATION_CLASSES,
+    INCOME_CLASSES,
+    OCCUPATION_CLASSES,
+    REGION_CLASSES,
+    UNDEFINED,
+)
 from featuremart.operators.scoring import Node, TreeModel
 from featuremart.plans.dataset import FEATURES
+from featuremart.plans.scores import CATEGORICAL
+
+# Labels in code-point order over all classes that exist: what an encoder fitted on data with
+# every class would hold.
+CLASS_LABELS = dict(
+    zip(
+        CATEGORICAL,
+        (
+            sorted([*EDUCATION_CLASSES, UNDEFINED]),
+            sorted([*OCCUPATION_CLASSES, UNDEFINED]),
+            sorted(INCOME_CLASSES),
+            sorted(REGION_CLASSES),
+        ),
+        strict=True,
+    )
+)
 
 # Works on the features of the inference dataset; labels are codes.
 CARD_MODEL = TreeModel(

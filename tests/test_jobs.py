@@ -6,6 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from featuremart.operators.scoring import fitted_labels, label_table
 from featuremart.operators.scratch import stage
 from featuremart.operators.sinks import write_snapshot
 from featuremart.operators.snapshots import NoSnapshot
@@ -16,9 +17,9 @@ from featuremart.plans.demographic import demographic_features, first_accounts
 from featuremart.plans.income import income_features
 from featuremart.plans.portfolio import portfolio_features
 from featuremart.plans.ratios import ratio_features
-from featuremart.plans.scores import CLASS_LABELS, NUMERIC, model_inputs, model_scores
+from featuremart.plans.scores import NUMERIC, model_inputs, model_scores
 from featuremart.runner import JOBS, run_job
-from featuremart.sources.bank_model import CARD_MODEL
+from featuremart.sources.bank_model import CARD_MODEL, CLASS_LABELS
 from featuremart.sources.bank_views import RUN_DATE
 from featuremart.sources.catalog import INPUT_TABLES, MART_TABLES
 
@@ -284,19 +285,26 @@ def test_dataset_files_are_sorted_ranges(bank, spark):
     assert all(ids == sorted(ids) for ids in parts.values())
 
 
-def test_scores(bank):
-    dataset = bank.staged_dataset
-    inputs = model_inputs(dataset, batch_size=10)
+def test_scores(spark, bank):
+    dataset, labels = bank.staged_dataset, label_table(spark, CLASS_LABELS)
+    inputs = model_inputs(dataset, labels, batch_size=10)
     assert inputs.filter(" OR ".join(f"{c} IS NULL" for c in NUMERIC)).count() == 0
     assert inputs.count() == dataset.dropna(subset=["demog_id_rgdesc_na_na"]).count()
-    scores = model_scores(dataset, CARD_MODEL, batch_size=10)
+    scores = model_scores(dataset, CARD_MODEL, labels, batch_size=10)
     assert scores.columns == ["id", "user_id", "pred_proba", "is_treat", "batch"]
     total = -(-dataset.count() // 10)
     names = {r.batch for r in scores.select("batch").distinct().collect()}
     assert names <= {f"{i:0{len(str(total))}d}" for i in range(1, total + 1)}
-    low = {**CLASS_LABELS, "demog_id_rgdesc_na_na": ["BALI"]}
+    low = label_table(spark, {**CLASS_LABELS, "demog_id_rgdesc_na_na": ["BALI"]})
     with pytest.raises(Exception, match="label not seen when fitted"):
         model_scores(dataset, CARD_MODEL, low, batch_size=10).collect()
+    # Two versions in one table: the newer one, or the one that is named.
+    both = low.withColumn("version", F.lit("2001-05")).union(labels.withColumn("version", F.lit("2001-06")))
+    assert rows(fitted_labels(both)) == rows(labels) == rows(fitted_labels(labels))
+    assert rows(fitted_labels(both, "2001-05")) == rows(low)
+    assert rows(model_scores(dataset, CARD_MODEL, fitted_labels(both), batch_size=10)) == rows(scores)
+    with pytest.raises(ValueError, match="no versions"):
+        fitted_labels(labels, "2001-05")
 
 
 def test_all_jobs_on_catalog_tables(spark, bank):
@@ -327,8 +335,8 @@ def test_all_jobs_on_catalog_tables(spark, bank):
         assert rows(written.select(df.columns)) == rows(df), job
         assert written.columns[-2:] == ["modified_date", "ds"]
     for _ in range(2):
-        run_job(spark, "scores", RUN_DATE, model=CARD_MODEL, labels=CLASS_LABELS, batch_size=50)
-    scores = model_scores(bank.staged_dataset, CARD_MODEL, batch_size=50)
+        run_job(spark, "scores", RUN_DATE, model=CARD_MODEL, labels=label_table(spark, CLASS_LABELS), batch_size=50)
+    scores = model_scores(bank.staged_dataset, CARD_MODEL, label_table(spark, CLASS_LABELS), batch_size=50)
     assert rows(spark.table(MART_TABLES["scores"]).select(scores.columns)) == rows(scores)
     with pytest.raises(ValueError, match="labels"):
         run_job(spark, "scores", RUN_DATE, model=CARD_MODEL)

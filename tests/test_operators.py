@@ -30,7 +30,6 @@ from featuremart.operators.scoring import (
     fit_labels,
     impute_median,
     label_table,
-    labels_from_table,
     score,
     score_expression,
     score_in_batches,
@@ -92,6 +91,10 @@ def test_skew_join_on_any_rows(spark, left, right, how):
     one = spark.createDataFrame([(k, 1) for k in left], "key string, l int")
     two = spark.createDataFrame([(k, 2) for k in right], "key string, r int")
     assert rows(skew_join(one, two, "key", how)) == rows(one.join(two, "key", how))
+    known = one.dropna()
+    assert rows(skew_join(known, two, "key", how, two.select("key"), null_keys=False)) == rows(
+        known.join(two, "key", how)
+    )
 
 
 SKEW = {
@@ -271,15 +274,14 @@ def test_labels(spark):
     df = spark.createDataFrame([("b",), ("C",), ("a",), (None,), ("a",)], "x string")
     fitted = fit_labels(df, "x")
     assert rows(fitted) == Counter([("x", "C", 0), ("x", "a", 1), ("x", "b", 2)])
-    known = labels_from_table(fitted)
-    assert known == {"x": ["C", "a", "b"]}
-    assert labels_from_table(label_table(spark, known)) == known
-    new = spark.createDataFrame([("a",), ("z",), (None,)], "x string")
+    assert rows(label_table(spark, {"x": ["C", "a", "b"]})) == rows(fitted)
+    new = spark.createDataFrame([("a", "b"), ("z", "a"), (None, "C")], "x string, y string")
     for unseen, codes in (("null", [1, None, None]), ("keep", [1, 3, 3])):
-        want = Counter([(c,) for c in codes])
-        assert rows(encode_labels(new, known, unseen)) == want
-        assert rows(apply_labels(new, fitted, "x", unseen)) == want
-    for encode in (encode_labels(new.dropna(), known), apply_labels(new.dropna(), fitted, "x")):
+        assert rows(apply_labels(new.select("x"), fitted, "x", unseen)) == Counter([(c,) for c in codes])
+        both = fitted.union(fitted.withColumn("feature", F.lit("y")))
+        want = Counter(zip(codes, [2, 1, 0], strict=True))
+        assert rows(encode_labels(new, both, ["x", "y"], unseen)) == want
+    for encode in (encode_labels(new.dropna(), fitted, ["x"]), apply_labels(new.dropna(), fitted, "x")):
         with pytest.raises(Exception, match="label not seen when fitted: z"):
             encode.collect()
 

@@ -36,6 +36,15 @@ def test_no_row_at_a_time_python(spark, plan_of):
         assert "BroadcastNestedLoopJoin" not in plan
 
 
+def test_jobs_do_not_repeat_their_inputs(spark, plan_of):
+    """Chained left joins repeat what is before them: the bounds are those of the present plans."""
+    for name, scans, exchanges in (
+        ("job_card_master", 13, 8), ("job_customer_pool", 30, 17), ("job_demographic", 41, 22),
+    ):
+        plan = plan_of(QUERIES[name](spark, SF_DIR))
+        assert plan.count("FileScan") <= scans and plan.count("Exchange hash") <= exchanges, name
+
+
 def test_catalog_lookups_read_no_data(spark):
     """Partition names come from the catalog: the plans hold no scan of the data."""
     plan = QUERIES["list_partitions"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
