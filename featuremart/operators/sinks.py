@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from featuremart.operators import publish
+from featuremart.operators.buckets import Buckets, buckets_of, with_clean_key, write_buckets
 from featuremart.operators.publish import partition_spec
 from featuremart.operators.scratch import forget
 
@@ -63,6 +64,7 @@ def write_snapshot(
     location: str | None = None,
     former: publish.Version | None = None,
     keep: int = 2,
+    buckets: Buckets | None = None,
 ) -> bool:
     """Replace one snapshot of a catalog table and tell whether anything was written.
 
@@ -79,6 +81,9 @@ def write_snapshot(
     ``rebalance`` lets Spark size the files from what the shuffle measured (set the size with
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes``) and split a partition that is too
     large; no trial run is needed. Turn it off to keep rows in the order they come in.
+
+    ``buckets`` is how a table that is not there yet is made; one that is there stays as it is. The key
+    of a bucketed table is cleansed, and its files are its buckets.
     """
     spark = df.sparkSession
     in_batches = batch is not None or "batch" in df.columns
@@ -89,6 +94,8 @@ def write_snapshot(
         if skip_if_empty and df.isEmpty():
             return False
         empty = out.filter(F.lit(False)).write.partitionBy(*partitions).format("parquet")
+        if buckets:
+            empty = empty.bucketBy(buckets.number, buckets.column)
         (empty.option("path", location) if location else empty).saveAsTable(table)
     columns = spark.table(table).columns
     if set(columns) != set(out.columns):
@@ -97,10 +104,15 @@ def write_snapshot(
     fixed = {"ds": ds} if batch is None else {"ds": ds, "batch": batch}
     former = former or publish.adopt(spark, table, ds)
     out = out.select(*[c for c in columns if c not in fixed])
-    if rebalance:
-        out = out.hint("rebalance", *([F.col("batch")] if spread else []))
     folder = publish.new_folder(spark, table, ds)
-    (out.write.partitionBy("batch") if spread else out.write).parquet(folder)
+    free = [name for name in partitions if name not in fixed]
+    buckets = buckets_of(spark, table)
+    if buckets:
+        write_buckets(with_clean_key(out, buckets), table, folder, buckets, *free)
+    else:
+        if rebalance:
+            out = out.hint("rebalance", *map(F.col, free))
+        out.write.partitionBy(*free).parquet(folder)
     if skip_if_empty and spark.read.schema(out.schema).parquet(folder).isEmpty():
         forget(spark, folder)
         return False
@@ -121,7 +133,6 @@ def write_snapshot(
     publish.settle(spark, table, ds)
     publish.vacuum(spark, table, ds, keep)
     if statistics:
-        free = [name for name in partitions if name not in fixed]
         for_partitions = ", ".join([partition_spec(fixed), *free])
         spark.sql(f"ANALYZE TABLE {table} PARTITION ({for_partitions}) COMPUTE STATISTICS")
     return True

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from featuremart.functions.cleansing import cleanse_table
+from featuremart.functions.cleansing import PARTITION_COLUMNS, cleanse_table
 from featuremart.operators.scratch import stage
 from featuremart.operators.windows import number_rows, row_id
 
@@ -28,20 +28,27 @@ RATIOS = (
 FEATURES = DEMOGRAPHIC + PORTFOLIO + INCOME + RATIOS
 
 
-def distinct_rows(mart: DataFrame, features: tuple[str, ...]) -> DataFrame:
+def cleansed_mart(mart: DataFrame, clean_ids: bool) -> DataFrame:
+    """Cleansed text; ids that are clean already stay untouched, and with them the buckets of a mart."""
+    return cleanse_table(mart, (*PARTITION_COLUMNS, "user_id") if clean_ids else PARTITION_COLUMNS)
+
+
+def distinct_rows(
+    mart: DataFrame, features: tuple[str, ...], clean_ids: bool = False
+) -> DataFrame:
     """The different rows of a mart; a user whose rows differ keeps all of them."""
-    return cleanse_table(mart).select("user_id", *features).distinct()
+    return cleansed_mart(mart, clean_ids).select("user_id", *features).distinct()
 
 
-def candidates(pool: DataFrame, demographic: DataFrame) -> DataFrame:
+def candidates(pool: DataFrame, demographic: DataFrame, clean_ids: bool = False) -> DataFrame:
     """Active users without a card, with their demographic features."""
     users = (
-        cleanse_table(pool)
+        cleansed_mart(pool, clean_ids)
         .filter((F.col("is_credit_card") == 0) & (F.col("is_inactive") == 0))
         .select("user_id")
         .distinct()
     )
-    features = cleanse_table(demographic).select("user_id", *DEMOGRAPHIC).distinct()
+    features = distinct_rows(demographic, DEMOGRAPHIC, clean_ids)
     return users.join(features, "user_id", "left")
 
 
@@ -51,14 +58,16 @@ def assemble_features(
     portfolio: DataFrame,
     income: DataFrame,
     ratios: DataFrame,
+    clean_ids: bool = False,
 ) -> DataFrame:
     """All features of the candidates; amounts that are missing are 0.
 
-    Every side is brought to the user key once, so the joins share one partitioning.
+    Every side is brought to the user key once, so the joins share one partitioning. Marts that are
+    bucketed by the user have it already; ``clean_ids`` says that their ids need no cleansing.
     """
-    out = candidates(pool, demographic)
+    out = candidates(pool, demographic, clean_ids)
     for mart, features in ((portfolio, PORTFOLIO), (income, INCOME), (ratios, RATIOS)):
-        out = out.join(distinct_rows(mart, features), "user_id", "left")
+        out = out.join(distinct_rows(mart, features, clean_ids), "user_id", "left")
     amounts = [
         F.coalesce(F.col(name), F.lit(0)).alias(name) for name in PORTFOLIO + INCOME + RATIOS
     ]
@@ -72,13 +81,15 @@ def inference_dataset(
     income: DataFrame,
     ratios: DataFrame,
     ds: str,
+    clean_ids: bool = False,
 ) -> DataFrame:
     """The assembled features with an id per row. Every input holds one snapshot.
 
     The numbering follows the user and the demographic features, then the amounts: all columns,
     which tell the rows apart. It reads the rows twice, so they are written once before. Each partition comes out sorted by id and holds whole ranges of ids.
     """
-    rows = stage(assemble_features(pool, demographic, portfolio, income, ratios), "assembled")
+    assembled = assemble_features(pool, demographic, portfolio, income, ratios, clean_ids)
+    rows = stage(assembled, "assembled")
     numbered = number_rows(
         rows, ["user_id", *DEMOGRAPHIC], ties=PORTFOLIO + INCOME + RATIOS
     )

@@ -2,11 +2,16 @@
 
 from pyspark.sql import functions as F
 
+from featuremart.operators.buckets import Buckets
 from featuremart.operators.scoring import label_table
+from featuremart.operators.snapshots import snapshot
 from featuremart.oracles.parts import tree_case
+from featuremart.plans.dataset import inference_dataset
 from featuremart.plans.scores import CATEGORICAL, NUMERIC, model_scores
 from featuremart.queries.registry import query, rounded, stamped
+from featuremart.queries.sinks import ScratchTable
 from featuremart.sources.bank_model import CARD_MODEL, CLASS_LABELS, ENSEMBLE
+from featuremart.sources.bank_views import PARAMS
 
 
 @query("""
@@ -53,6 +58,18 @@ def job_dataset(bank):
     return bank.dataset
 
 
+@query("SELECT * FROM dataset")
+def job_dataset_bucketed(bank):
+    """The dataset over marts that were written bucketed by the user: nothing moves before the numbering."""
+    buckets = Buckets("user_id", int(bank.spark.conf.get("spark.sql.shuffle.partitions")))
+    marts = []
+    for i, mart in enumerate(bank.marts):
+        table = ScratchTable(bank, f"mart_{i}")
+        table.write(mart, PARAMS.ds, buckets=buckets)
+        marts.append(snapshot(table.read(), PARAMS.ds))
+    return inference_dataset(*marts, PARAMS.ds, clean_ids=True)
+
+
 def _codes(column: str) -> str:
     arms = " ".join(f"WHEN '{x}' THEN {i}" for i, x in enumerate(CLASS_LABELS[column]))
     return f"CASE b.{column} {arms} END AS {column}"

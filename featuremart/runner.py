@@ -16,6 +16,7 @@ from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 
+from featuremart.operators.buckets import Buckets, buckets_of
 from featuremart.operators.scoring import TreeModel, fitted_labels
 from featuremart.operators.scratch import scratch_scope
 from featuremart.operators.sinks import write_snapshot
@@ -41,6 +42,9 @@ BANK_TIME = ZoneInfo("Asia/Jakarta")
 
 # Marts that have to hold the snapshot of the run before the dataset is assembled.
 FEATURE_MARTS = ("demographic", "portfolio", "income", "ratios")
+# What the dataset joins by user; made with buckets, so that it lies ready for that.
+JOINED_MARTS = ("pool", *FEATURE_MARTS)
+JOIN_KEY = "user_id"
 
 
 class Run:
@@ -81,6 +85,11 @@ class Run:
             return False
         return any(found["ds"] == ds for found in list_partitions(self.spark, name) or ())
 
+    def bucketed(self, roles: tuple[str, ...]) -> bool:
+        """Whether all these marts are bucketed by the user, and so hold clean ids."""
+        found = [buckets_of(self.spark, table_name(role, self.names)) for role in roles]
+        return all(buckets is not None and buckets.column == JOIN_KEY for buckets in found)
+
     def require(self, roles: tuple[str, ...]) -> None:
         missing = [role for role in roles if not self.has(role, self.params.ds)]
         if missing:
@@ -127,9 +136,11 @@ def _ratios(run: Run) -> DataFrame:
 
 
 def _dataset(run: Run) -> DataFrame:
-    run.require(("pool", *FEATURE_MARTS))
+    run.require(JOINED_MARTS)
     return inference_dataset(
-        *[run.own(role) for role in ("pool", *FEATURE_MARTS)], run.params.ds
+        *[run.own(role) for role in JOINED_MARTS],
+        run.params.ds,
+        clean_ids=run.bucketed(JOINED_MARTS),
     )
 
 
@@ -153,20 +164,22 @@ def run_job(
     labels: DataFrame | None = None,
     force: bool = False,
     modified: datetime | None = None,
+    buckets: int | None = None,
     **options,
 ) -> bool:
     """Build one mart and replace its snapshot. Tell whether anything was written.
 
     All jobs but the card holder master do nothing except on run days, unless forced.
-    What is staged on the way is deleted at the end.
+    What is staged on the way is deleted at the end. A mart that the dataset joins is made with
+    ``buckets`` buckets (by default as many as a shuffle has partitions); one that is there stays as it is.
     ``options`` go to the scores (``unseen``, ``medians``, ``batch_size``, ``threshold``) or to the
     demographic features (``exclude_regions``).
     """
     with scratch_scope(spark):
-        return _run_job(spark, job, run_date, names, model, labels, force, modified, options)
+        return _run_job(spark, job, run_date, names, model, labels, force, modified, buckets, options)
 
 
-def _run_job(spark, job, run_date, names, model, labels, force, modified, options) -> bool:
+def _run_job(spark, job, run_date, names, model, labels, force, modified, buckets, options) -> bool:
     run = Run(spark, run_date, names)
     if job != "card_master" and not (run.params.is_run_day or force):
         return False
@@ -178,6 +191,7 @@ def _run_job(spark, job, run_date, names, model, labels, force, modified, option
         result = model_scores(run.own("dataset"), model, labels, **options)
         return write_snapshot(result, table, run.params.ds, modified)
     ds = run.params.card_ds if job == "card_master" else run.params.ds
+    made = Buckets(JOIN_KEY, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
     return write_snapshot(
         JOBS[job](run, **options),
         table,
@@ -186,6 +200,7 @@ def _run_job(spark, job, run_date, names, model, labels, force, modified, option
         skip_if_empty=job == "card_master",
         # The dataset comes out sorted by id.
         rebalance=job != "dataset",
+        buckets=made if job in JOINED_MARTS else None,
     )
 
 
@@ -201,6 +216,7 @@ def main() -> None:
     parser.add_argument("--unseen", choices=["error", "null", "keep"], default="error")
     parser.add_argument("--medians", choices=["batch", "global"], default="batch")
     parser.add_argument("--exclude-region", action="append", default=[])
+    parser.add_argument("--buckets", type=int, help="buckets of a mart that is not there yet")
     parser.add_argument("--force", action="store_true", help="run on any day")
     args = parser.parse_args()
     spark = build_session(app=f"featuremart {args.job}")
@@ -216,6 +232,7 @@ def main() -> None:
         model=TreeModel.from_table(spark.read.table(args.model)) if args.model else None,
         labels=fitted_labels(spark.read.table(args.labels), args.labels_version) if args.labels else None,
         force=args.force,
+        buckets=args.buckets,
         **options,
     )
     print(f"{args.job} {args.date}: {'written' if written else 'nothing to write'}")
