@@ -397,6 +397,23 @@ def test_nearest_partition_skips_empty_ones(spark, table):
         snapshots.nearest_partition(spark, table, "20230224")
 
 
+def test_nearest_partition_past_many_empty_ones(spark, table):
+    df = spark.createDataFrame([(1, "a000"), (2, "a001")], "x int, ds string")
+    df.write.partitionBy("ds").saveAsTable(table)
+    empty = " ".join(f"PARTITION (ds='b{i:03d}')" for i in range(400))
+    spark.sql(f"ALTER TABLE {table} ADD {empty}")
+    for upto in ("b399", "b150", "b001", "b000", "a001", "a0015"):
+        assert snapshots.nearest_partition(spark, table, upto) == "a001"
+    assert snapshots.nearest_partition(spark, table, "a0005") == "a000"
+    group, tracker = f"nearest-{table}", spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(group, "nearest")
+    try:
+        assert snapshots.nearest_partition(spark, table, "b399") == "a001"
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup(group)) <= 40
+
+
 def test_partition_filters_reach_the_scan(spark, table, plan_of):
     spark.createDataFrame(
         [(1, "2023", "01", "31"), (2, "2023", "02", "01"), (3, "2022", "12", "31")],
