@@ -11,7 +11,8 @@ from featuremart.operators.aggregates import (
     sum_or_zero,
 )
 from featuremart.operators.aggregates import measure_matrix as matrix_of
-from featuremart.operators.scratch import scratch_path
+from featuremart.operators.distinct_counts import account_bitmaps, distinct_counts, number_accounts
+from featuremart.operators.scratch import scratch_path, stage
 from featuremart.operators.windows import batch_of
 from featuremart.oracles.parts import MATRIX_AS_DOUBLES, income_remark, other_remark
 from featuremart.plans.balances import balance_accounts
@@ -180,3 +181,25 @@ def income_moving_window(bank):
     moved_income(kept, early, "20010601", "20010606", bank.modified)
     income = moved_income(kept, bank.trx, "20010603", "20010608", bank.modified, late=["20010605"])
     return doubles(income)
+
+
+@query("""
+    SELECT 'day and product' AS level, ds, keterangan, count(DISTINCT acct_num) AS accounts
+    FROM v_saving GROUP BY ds, keterangan
+    UNION ALL
+    SELECT 'product', NULL, keterangan, count(DISTINCT acct_num) FROM v_saving GROUP BY keterangan
+    UNION ALL
+    SELECT 'all', NULL, NULL, count(DISTINCT acct_num) FROM v_saving
+""")
+def count_distinct_merged(bank):
+    """Accounts by day and product, whose bitmaps give those of products and of all."""
+    saving = bank.view("v_saving")
+    numbers = number_accounts(saving, "acct_num")
+    keys = ["ds", "keterangan"]
+    bitmaps = stage(account_bitmaps(saving, numbers, keys, "acct_num"), "bitmaps")
+    levels = [("day and product", keys), ("product", keys[1:]), ("all", [])]
+    counts = [distinct_counts(bitmaps, by).withColumn("level", F.lit(level)) for level, by in levels]
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out.select("level", *keys, "accounts")
