@@ -3,15 +3,19 @@
 A fingerprint has 64 bits; bit i is set if more than half of the hashes of the document's shingles
 have it. Two documents are linked if their fingerprints differ in at most two bits.
 
-Candidates come from a pivot distance table. The pivots are 65 reference fingerprints: zero, and for
-each of the 16 nibbles of a fingerprint four references that are zero outside it (bits 0011, 0101,
-1001 and 1111 inside). The table holds the Hamming distance of every distinct fingerprint to every
-pivot. By the triangle inequality the distances of linked fingerprints to any pivot differ by two at
-most. A distance relative to that of the zero pivot depends on the pivot's own nibble only, so two
-differing bits change the relative distances of two nibbles at most: linked fingerprints agree in
-all relative distances of at least 14 nibbles, and so in two of four groups of nibbles. Fingerprints
-meet in a cell if they do agree in two groups; in a cell, pairs whose largest coordinate difference
-exceeds two are discarded and the Hamming distance of the others is verified.
+Candidates come from pivot distance tables, by the triangle inequality: the distances of linked
+fingerprints to any pivot differ by two at most. There are two kinds of pivots.
+
+Local pivots say who meets: zero, and for each of the 16 nibbles of a fingerprint four references that
+are zero outside it (bits 0011, 0101, 1001 and 1111 inside). A distance relative to that of the zero
+pivot depends on the pivot's own nibble only, so two differing bits change the relative distances of
+two nibbles at most: linked fingerprints agree in all relative distances of at least 14 nibbles, and
+so in two of four groups of nibbles. Fingerprints meet in a cell if they do agree in two groups. (The
+four relative distances tell the values of a nibble apart, so a cell is one of equal nibbles.)
+
+Spanning pivots, 32 random fingerprints, discard: of those who meet, pairs whose largest difference over
+the distances to them exceeds two go, and only what survives has its Hamming distance taken. Of pairs
+at random in a cell fewer than one in a thousand survive.
 
 A cell that more than CELL distinct fingerprints share is divided again: they can only differ in the
 other eight nibbles, linked ones in two of those, so they meet in 28 cells by the other six. Those
@@ -43,6 +47,7 @@ CELL = 256
 NIBBLES = 16
 PATTERNS = (0b0011, 0b0101, 0b1001, 0b1111)
 PIVOTS = np.array([0] + [p << (4 * n) for n in range(NIBBLES) for p in PATTERNS], dtype=np.uint64)
+SPANNING = np.random.default_rng(64).integers(0, 2**64, 32, dtype=np.uint64)
 GROUPS = 4
 SIZE = NIBBLES // GROUPS
 LONGS = T.ArrayType(T.LongType())
@@ -86,9 +91,9 @@ def fingerprint_column(text: Column, words: int = 3) -> Column:
     return of(text)
 
 
-def distances(prints: np.ndarray) -> np.ndarray:
+def distances(prints: np.ndarray, pivots: np.ndarray = PIVOTS) -> np.ndarray:
     """Hamming distance of each fingerprint to each pivot."""
-    return np.bitwise_count(prints.view(np.uint64)[:, None] ^ PIVOTS[None, :]).astype(np.int8)
+    return np.bitwise_count(prints.view(np.uint64)[:, None] ^ pivots[None, :]).astype(np.int8)
 
 
 def nibble_codes(table: np.ndarray) -> np.ndarray:
@@ -123,21 +128,36 @@ def inner_cells(prints: np.ndarray, pair: int) -> np.ndarray:
     return np.stack([_packed(codes, list(c)) for c in combinations(free, 6)], axis=1)
 
 
-def forest(prints: np.ndarray, max_bits: int = MAX_BITS) -> list[tuple[int, int]]:
-    """Links of a spanning forest over the linked fingerprints of one cell."""
-    table = distances(prints)
+def survivors(table: np.ndarray, at: int, others: np.ndarray, max_bits: int) -> np.ndarray:
+    """Those of ``others`` whose distances to all spanning pivots are near those of ``at``."""
+    return others[np.abs(table[others] - table[at]).max(axis=1) <= max_bits]
+
+
+def forest(
+    prints: np.ndarray, max_bits: int = MAX_BITS, counts: dict[str, int] | None = None
+) -> list[tuple[int, int]]:
+    """Links of a spanning forest over the linked fingerprints of one cell.
+
+    ``counts`` gets how many pairs ``met`` and how many of them were ``verified``.
+    """
+    table = distances(prints, SPANNING)
     unsigned = prints.view(np.uint64)
     left = np.arange(len(prints))
     found = []
+    met = verified = 0
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             at = queue.pop()
-            near = np.abs(table[left] - table[at]).max(axis=1) <= max_bits
-            near &= np.bitwise_count(unsigned[left] ^ unsigned[at]) <= max_bits
-            queue += (new := left[near]).tolist()
-            found += [(int(prints[at]), int(prints[n])) for n in new]
-            left = left[~near]
+            near = survivors(table, at, left, max_bits)
+            met, verified = met + len(left), verified + len(near)
+            new = near[np.bitwise_count(unsigned[near] ^ unsigned[at]) <= max_bits]
+            if len(new):
+                queue += new.tolist()
+                found += [(int(prints[at]), int(prints[n])) for n in new]
+                left = np.setdiff1d(left, new, assume_unique=True)
+    if counts is not None:
+        counts.update(met=met, verified=verified)
     return found
 
 

@@ -88,6 +88,24 @@ def test_links_hold_all_pairs_in_large_cells(spark):
         assert [got.get(p, p) for p in signed] == want
 
 
+def test_pairs_are_discarded_before_they_are_verified():
+    rng = np.random.default_rng(3)
+    low = rng.integers(0, 2**32, 2000, dtype=np.uint64)  # one cell: the upper half is shared
+    near = low[:200] ^ (np.uint64(1) << rng.integers(0, 32, 200, dtype=np.uint64))
+    prints = np.unique(np.concatenate([low, near])) | np.uint64(0xABCD1234 << 32)
+    links = {frozenset((i, j)) for i in range(len(prints)) for j in np.flatnonzero(
+        np.bitwise_count(prints ^ prints[i]) <= 2).tolist() if i < j}
+    counts = {}
+    signed = prints.view(np.int64)
+    at = {int(p): i for i, p in enumerate(signed)}
+    found = {frozenset((at[a], at[b])) for a, b in simhash.forest(signed, counts=counts)}
+    assert found <= links and len(links) >= 200
+    assert len(found) <= counts["verified"] < counts["met"] / 1000
+    table = simhash.distances(signed, simhash.SPANNING)
+    for i, j in map(sorted, links):  # no link is discarded
+        assert simhash.survivors(table, i, np.array([j]), 2).tolist() == [j]
+
+
 def test_codes_are_a_numbering_of_relative_distances():
     prints = np.random.default_rng(2).integers(-(2**63), 2**63 - 1, 5000)
     table = simhash.distances(prints)
