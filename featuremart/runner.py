@@ -17,6 +17,7 @@ from zoneinfo import ZoneInfo
 from pyspark.sql import DataFrame, SparkSession
 
 from featuremart.operators.buckets import Buckets, buckets_of
+from featuremart.operators.model_dump import read_dump
 from featuremart.operators.scoring import TreeModel, fitted_labels
 from featuremart.operators.scratch import scratch_scope
 from featuremart.operators.sinks import write_snapshot
@@ -210,7 +211,10 @@ def main() -> None:
     parser.add_argument(
         "--date", type=date.fromisoformat, default=datetime.now(BANK_TIME).date()
     )
-    parser.add_argument("--model", help="node table of the model")
+    model = parser.add_mutually_exclusive_group()
+    model.add_argument("--model", help="node table of the model")
+    model.add_argument("--model-dump", help="JSON dump of the model's trees")
+    parser.add_argument("--base-score", type=float, default=0.5, help="of the model, which no dump holds")
     parser.add_argument("--labels", help="label table of the encoders")
     parser.add_argument("--labels-version", help="version of the label table, the greatest if not given")
     parser.add_argument("--unseen", choices=["error", "null", "keep"], default="error")
@@ -223,13 +227,17 @@ def main() -> None:
     options = {}
     if args.job == "scores":
         options = {"unseen": args.unseen, "medians": args.medians}
+        if args.model_dump:
+            trees = read_dump(spark, args.model_dump)
+            options["model"] = TreeModel.from_table(trees, args.base_score, single=True)
+        elif args.model:
+            options["model"] = TreeModel.from_table(spark.read.table(args.model), args.base_score)
     elif args.job == "demographic" and args.exclude_region:
         options = {"exclude_regions": args.exclude_region}
     written = run_job(
         spark,
         args.job,
         args.date,
-        model=TreeModel.from_table(spark.read.table(args.model)) if args.model else None,
         labels=fitted_labels(spark.read.table(args.labels), args.labels_version) if args.labels else None,
         force=args.force,
         buckets=args.buckets,
