@@ -73,13 +73,19 @@ def shingle_hashes(text: str | None, words: int) -> np.ndarray:
 
 def fingerprint(text: str | None, words: int = 3) -> int:
     """The fingerprint as a signed 64-bit number."""
-    hashes = shingle_hashes(text, words)
-    ones = np.zeros(64, dtype=np.int64)
+    return int(majority(shingle_hashes(text, words)).view("<i8")[0])
+
+
+def majority(hashes: np.ndarray) -> np.ndarray:
+    """The bits that over half of the hashes have, as bytes; a hash is a number or a row of them."""
+    if hashes.ndim == 1:
+        hashes = hashes[:, None]
+    width = 8 * hashes.shape[1]
+    ones = np.zeros(8 * width, dtype=np.int64)
     for i in range(0, len(hashes), 65536):
-        octets = hashes[i : i + 65536].astype("<u8").view(np.uint8).reshape(-1, 8)
+        octets = np.ascontiguousarray(hashes[i : i + 65536], dtype="<u8").view(np.uint8).reshape(-1, width)
         ones += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = (2 * ones > len(hashes)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<i8")[0])
+    return np.packbits((2 * ones > len(hashes)).astype(np.uint8), bitorder="little")
 
 
 def fingerprint_column(text: Column, words: int = 3) -> Column:

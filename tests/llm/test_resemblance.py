@@ -73,3 +73,31 @@ def test_blocks_find_the_same_components(spark):
         pairs = resemblance.components(resemblance.links(df, block=block)).collect()
         linked = {r.node: r.component for r in pairs}
         assert {linked.get(i, i) for i in range(120)} == brute_first(list(enumerate(texts)))
+
+
+def test_fingerprints_tie_and_discard(spark):
+    """Nodes within two bits are tied without a common cell; in a cluster fingerprints leave few pairs to verify."""
+    rows = [(1, 0b11, [10]), (2, 0b11, [20]), (3, 0b1001, [30]), (4, 2**40 - 1, [40]), (5, 7 << 50, [40]), (6, -1, [])]
+    nodes = spark.createDataFrame(rows, "node long, print long, cells array<long>")
+    tied = {r.node: r.cluster for r in resemblance.clusters(nodes).collect()}
+    assert tied == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4}
+    rng = np.random.default_rng(8)
+    sets = [np.unique(rng.integers(0, 2**64, 60, dtype=np.uint64)) for _ in range(300)]
+    for i in range(0, 300, 3):  # 54 of 66 in common
+        sets[i + 1] = np.unique(np.concatenate([sets[i][6:], sets[i + 1][:6]]))
+    counts = {}
+    found = resemblance.similar(sets, np.zeros(300), counts=counts)
+    assert sorted(found) == [(i, i + 1) for i in range(0, 300, 3)]
+    assert counts["met"] > 40_000 and 100 <= counts["verified"] < 200
+
+
+def test_no_small_pair_at_the_threshold_is_discarded():
+    """Sets of few shingles differ in more bits, by ties: the widest distance seen stays far inside the radius."""
+    rng = np.random.default_rng(9)
+    widest = 0
+    for size in (4, 8, 9, 20, 60):
+        for _ in range(400):
+            whole = rng.integers(0, 2**64, size + size // 4, dtype=np.uint64)
+            a, b = resemblance.wide_print(whole[:size]), resemblance.wide_print(whole)
+            widest = max(widest, int(np.bitwise_count(a ^ b).sum()))
+    assert 30 < widest < resemblance.radius(0.8) - 10
