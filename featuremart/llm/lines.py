@@ -173,18 +173,21 @@ def dedup_lines(
     lines = F.split(F.col("row.text"), "\n", -1)
     rank = F.when(F.col("id") == NO_ID, LAST_ID).otherwise(F.col("id"))
     full = rows.filter(F.length("row.text") > 0).withColumn("rank", rank)
-    if by_content:
-        named = text_classes(full.select("text_hash", "rank", F.col("row.text").alias("text")))
-        full = full.drop("rank").join(named, "text_hash").withColumnRenamed("first", "rank")
     # Exploding an array of one keeps the optimizer from repeating its expression in every use.
     tokenized = (
-        full.select("*", F.explode(F.array(F.transform(lines, masked_tokens))).alias("lists"))
+        full.select("id", "text_hash", "rank", F.explode(F.array(F.transform(lines, masked_tokens))).alias("lists"))
         .select(
             "id", "text_hash", "rank",
-            ("signature" if by_content else signature(F.col("lists")).alias("signature")),
+            *([] if by_content else [signature(F.col("lists")).alias("signature")]),
             F.transform("lists", parts).alias("lists"),
         )
     )
+    if by_content:
+        # The classes meet the parts of the lines, not the texts, and both passes below read them as written.
+        named = text_classes(full.select("text_hash", "rank", F.col("row.text").alias("text")))
+        tokenized, _ = staged(
+            tokenized.drop("rank").join(named, "text_hash").withColumnRenamed("first", "rank"), "parts"
+        )
     found = (
         tokenized.select("id", "text_hash", "rank", "signature", F.posexplode("lists").alias("at", "line"))
         .filter(F.col("line.n") >= min_tokens)

@@ -103,3 +103,9 @@ def test_pipeline_tells_documents_apart_by_their_text(spark, documents, plan_of)
     assert "Python" not in plan and "Pandas" not in plan and "Cartesian" not in plan
     got = [(r.doc_id, r.text) for r in out.collect()]
     assert sorted(got) == [logs[0]] * 2 + near
+
+
+def test_texts_are_cut_into_tokens_once(table, plan_of):
+    """With ``by_content`` the counts and the drops read the parts of the lines as written, not the texts again."""
+    docs = table("documents", "sf0.001")
+    assert "<*>" not in plan_of(lines.dedup_lines(docs, long_docs=2, by_content=True))
