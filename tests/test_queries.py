@@ -4,6 +4,7 @@ import os
 
 import pytest
 from oracle_check import compare, connect
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from featuremart.queries import ORACLES, QUERIES
@@ -70,3 +71,21 @@ def test_code_lists():
     assert (classes.ACTIVE, classes.CLOSED) == (1, 2)
     assert set(classes.INCOME_WORDS) == {"SALARY", "CREDIT", "GAJI", "PAYROLL"}
     assert set(classes.INCOME_CODES) == {"428", "541", "555"}
+
+
+def test_a_partition_with_most_rows_is_written_by_several_tasks(spark, bank):
+    """Snapshots of one day each: the rows of the larger one do not pass through a single task."""
+    from types import SimpleNamespace
+
+    from featuremart.queries.scans import partitioned
+
+    wide = F.concat(*[F.md5(F.concat("id", F.lit(i)).cast("string")) for i in range(4)])
+    rows = spark.range(0, 20_000, 1, 8).select("id", wide.alias("text"), F.lit("20010615").alias("ds"))
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "256k")
+    try:
+        table = spark.read.table(partitioned(SimpleNamespace(spark=spark), rows, "ds"))
+        assert table.count() == 20_000
+        assert len(table.inputFiles()) > 2
+    finally:
+        spark.conf.unset(size)
