@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from featuremart.llm import pieces
-from featuremart.llm.bpe import CUT, ODD, Encoder
+from featuremart.llm.bpe import CUT, Encoder, odd
 from featuremart.llm.common import blocks, id_or_null, packed, staged
 
 BLOCK = 1 << 19
@@ -110,7 +110,7 @@ class Aligner:
         for text in texts:
             if not text or self.b.model.normalize(text).replace(pieces.SPACE, " ") != " " + text:
                 words.append([])
-            elif ODD.search(text):
+            elif odd(text):
                 words.append(None)
             else:
                 first, *lines = text.split("\n")
@@ -142,15 +142,14 @@ class Aligner:
             self.known.clear()
             new = words
         spaced = {w for w in new if w[0] != "\n"}
-        after, plain = self.a.learnt(spaced, {w[1:] or w for w in new if w[0] == "\n"})
-        for word in new:
-            if word in spaced:
-                a, b = after[word], self.b.word_ids(pieces.SPACE + word)
-            else:
-                a, b = plain[word[1:] or word], self.b.word_ids(word[1:] or word)
-            self.known[word] = a, array("i", b).tobytes()
-            if len(word) > pieces.LONGEST_KEPT:
-                self.long.append(word)
+        broken = {w: w[1:] or w for w in new.difference(spaced)}
+        after, plain = self.a.learnt(spaced, set(broken.values()))
+        ids, space = self.b.word_ids, pieces.SPACE
+        for word in spaced:
+            self.known[word] = after[word], array("i", ids(space + word)).tobytes()
+        for word, rest in broken.items():
+            self.known[word] = plain[rest], array("i", ids(rest)).tobytes()
+        self.long.extend(w for w in new if len(w) > pieces.LONGEST_KEPT)
 
     def align(self, texts: list[str | None]) -> pd.DataFrame:
         """One row per text, as ALIGNED has it but for the id."""

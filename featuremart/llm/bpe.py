@@ -15,12 +15,16 @@ from itertools import chain
 
 import numpy as np
 
-ODD = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
 CUT = re.compile(r"(?<=\S)(?= \S)")
 KEPT_WORDS = 800_000
 BLOCK = 4096
 
 
+def odd(text: str) -> bool:
+    """Whether its white space is anything else than single spaces and line breaks between other characters."""
+    return " ".join(text.split()) != text.replace("\n", " ")
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -62,7 +66,7 @@ class Encoder:
         for text in texts:
             if not text:
                 cut.append([])
-            elif ODD.search(text):
+            elif odd(text):
                 parts = CUT.split(text)
                 first.update(parts)
                 cut.append([(parts, [])])

@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import defaultdict
 
@@ -5,7 +6,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from featuremart.llm import packing
+from featuremart.llm import bpe, packing
 from featuremart.llm.bpe import Encoder
 from featuremart.llm.queries import tokenizer_path
 
@@ -127,3 +128,12 @@ def test_bin_completion_beats_or_equals_best_fit():
         assert used <= sum(n for _, n in packing.best_fit_decreasing(counts, 100))
         exact += used == fewest_bins(sizes.tolist(), 100)
     assert exact >= 58
+
+
+def test_odd_white_space_is_told_apart():
+    pattern = re.compile(r"\s\s|[^\S \n]|^\s|\s\Z")
+    rng = np.random.default_rng(4)
+    letters = ["a", "b", " ", "\n", "\t", "\r", "\x1c", "\x85", "\xa0", "\u2028", "\u3000", "\u200b"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(letters, rng.integers(1, 7), p=[0.4, 0.15, 0.15, 0.12, *[0.0225] * 8]))
+        assert bpe.odd(text) == bool(pattern.search(text))
