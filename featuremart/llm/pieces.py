@@ -170,8 +170,11 @@ class Pieces:
 
     def word_ids(self, word: str) -> tuple[int, ...]:
         """Ids of one word of a normalised text."""
+        tokens = self.search(word)
+        if max(tokens) < self.size:
+            return tuple(tokens)
         found = []
-        for token in self.search(word):
+        for token in tokens:
             if token < self.size:
                 found.append(token)
             else:
