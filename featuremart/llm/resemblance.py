@@ -11,7 +11,7 @@ fingerprints or cells tie together form a cluster.
 
 Inside a cluster every pair whose fingerprints of 64 * WIDE bits are further apart than ten standard
 deviations over what a pair at the threshold has (97 bits of 256) is discarded, of random pairs all but
-one in about 4,000, and the similarity of what survives is counted exactly from the texts. A cluster too
+one in about 16,000, and the similarity of what survives is counted exactly from the texts. A cluster too
 large for one task is cut into blocks by a hash, and each pair of blocks is a task's work. Documents with
 the same shingles are one member throughout, so copies cost nothing.
 
