@@ -29,6 +29,10 @@ Other columns pass through untouched.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +55,27 @@ VARIABLE = r"(?<!\S)[^\s\d]*+\d\S*"
 SPACES = " \t\n\r\x0b\f"
 
 
-def masked_tokens(line: Column) -> Column:
+def masked_tokens(line: Column, spaces: str = r"\s+") -> Column:
     """Tokens of a line between ASCII spaces, variable fields as ``<*>``."""
     plain = F.btrim(line, F.lit(SPACES))
     fixed = F.when(line.rlike("[0-9]"), F.regexp_replace(plain, VARIABLE, "<*>")).otherwise(plain)
-    return F.split(fixed, r"\s+", -1)
+    return F.split(fixed, spaces, -1)
+
+
+def of_lines(text: Column, of: Callable[[Column], Column]) -> Column:
+    """``of`` the tokens of every line, as an array.
+
+    Tokens of a text with single blanks only are cut without a pattern. They are handed on as a
+    lambda's argument, which keeps them out of the row.
+    """
+    def each(spaces: str) -> Column:
+        return F.transform(
+            F.split(text, "\n", -1),
+            lambda line: F.get(F.transform(F.array(masked_tokens(line, spaces)), of), 0),
+        )
+
+    odd = reduce(or_, [text.contains(c) for c in ("  ", "\t", "\r", "\x0b", "\f")])
+    return F.when(odd, each(r"\s+")).otherwise(each(" "))
 
 
 def leaf(tokens: Column) -> Column:
@@ -63,10 +83,9 @@ def leaf(tokens: Column) -> Column:
     return F.concat_ws(" ", F.size(tokens).cast("string"), F.slice(tokens, 1, LEAD))
 
 
-def signature(token_lists: Column) -> Column:
-    """Least and greatest hash of the leaves of a document's lines, as one number."""
-    digest = F.transform(token_lists, lambda t: F.md5(leaf(t)))
-    return F.xxhash64(F.array_min(digest), F.array_max(digest))
+def signature(leaves: Column) -> Column:
+    """Least and greatest digest of the leaves of a document's lines, as one number."""
+    return F.xxhash64(F.array_min(leaves), F.array_max(leaves))
 
 
 def shingles(words: Column) -> Column:
@@ -173,21 +192,25 @@ def dedup_lines(
     lines = F.split(F.col("row.text"), "\n", -1)
     rank = F.when(F.col("id") == NO_ID, LAST_ID).otherwise(F.col("id"))
     full = rows.filter(F.length("row.text") > 0).withColumn("rank", rank)
+    # The texts are cut into tokens once: both passes below read the parts of the lines as written.
     # Exploding an array of one keeps the optimizer from repeating its expression in every use.
-    tokenized = (
-        full.select("id", "text_hash", "rank", F.explode(F.array(F.transform(lines, masked_tokens))).alias("lists"))
-        .select(
-            "id", "text_hash", "rank",
-            *([] if by_content else [signature(F.col("lists")).alias("signature")]),
-            F.transform("lists", parts).alias("lists"),
-        )
+    def line_parts(tokens: Column) -> Column:
+        marks = [] if by_content else [F.md5(leaf(tokens)).alias("leaf")]
+        return F.struct(parts(tokens).alias("parts"), *marks)
+
+    tokenized = full.select(
+        "id", "text_hash", "rank", F.explode(F.array(of_lines(F.col("row.text"), line_parts))).alias("lists")
+    )
+    tokenized = tokenized.select(
+        "id", "text_hash", "rank",
+        *([] if by_content else [signature(F.col("lists.leaf")).alias("signature")]),
+        F.col("lists.parts").alias("lists"),
     )
     if by_content:
-        # The classes meet the parts of the lines, not the texts, and both passes below read them as written.
+        # The classes meet the parts of the lines, not the texts.
         named = text_classes(full.select("text_hash", "rank", F.col("row.text").alias("text")))
-        tokenized, _ = staged(
-            tokenized.drop("rank").join(named, "text_hash").withColumnRenamed("first", "rank"), "parts"
-        )
+        tokenized = tokenized.drop("rank").join(named, "text_hash").withColumnRenamed("first", "rank")
+    tokenized, _ = staged(tokenized, "parts")
     found = (
         tokenized.select("id", "text_hash", "rank", "signature", F.posexplode("lists").alias("at", "line"))
         .filter(F.col("line.n") >= min_tokens)

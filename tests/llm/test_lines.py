@@ -109,3 +109,21 @@ def test_texts_are_cut_into_tokens_once(table, plan_of):
     """With ``by_content`` the counts and the drops read the parts of the lines as written, not the texts again."""
     docs = table("documents", "sf0.001")
     assert "<*>" not in plan_of(lines.dedup_lines(docs, long_docs=2, by_content=True))
+
+
+def test_query_cuts_texts_into_tokens_once(spark, plan_of):
+    """The query too reads the parts as written, in both of its passes."""
+    assert "<*>" not in plan_of(QUERIES["op4_line_templates"](spark, "/root/testdata/sf0.001"))
+
+
+def test_odd_white_space_separates_like_a_blank(documents):
+    """Texts with single blanks only are cut another way than the rest, into the same tokens."""
+    stamp = "printed on 2024-01-11 for {} by mistake"
+    odd = ["\t", "  ", "\x0b", "\f ", "\r"]
+    docs = [(i, f"{words(i)}\n{stamp.format(i)}\n{COMMON}") for i in (1, 2)]
+    docs += [(10 + i, f"{words(10 + i)}\n{stamp.format(i)}\n{COMMON}".replace(" ", s)) for i, s in enumerate(odd)]
+    docs += [(20, f"{words(20)}\n {COMMON} \n\n {stamp.format(9)}")]
+    got = {d: (t, n) for d, t, _, n in kept(documents(*docs))}
+    assert got[1] == (docs[0][1], 0)
+    assert got[2] == (words(2), 2) and got[20] == (f"{words(20)}\n", 2)
+    assert [got[10 + i] for i in range(5)] == [(words(10 + i).replace(" ", s), 2) for i, s in enumerate(odd)]
