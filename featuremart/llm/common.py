@@ -46,10 +46,10 @@ def blocks(texts: Sequence[str | None], size: int) -> Iterator[slice]:
         yield slice(start, len(texts))
 
 
-def staged(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` written once to the shared folder and read again, and where it lies."""
+def staged(df: DataFrame, name: str, **options) -> tuple[DataFrame, str]:
+    """``df`` written once to the shared folder and read again, and where it lies; options are the writer's."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

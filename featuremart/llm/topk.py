@@ -6,13 +6,17 @@ documents. A block keeps a forward index (the integers of its documents) and, fo
 largest and smallest weight in it. For a query the sum over terms of the larger of query weight times
 either bound is at least the score of any document of the block. Blocks are taken in descending
 order of that sum and scored through their forward indexes until the sum falls below the k-th score
-found so far; a block whose sum equals it is still scored, as ties go to the smaller id. The result
-is exact whatever is pruned.
+found so far; a block whose sum equals it is still scored, as ties go to the smaller id. A query that
+has not yet met k documents starts with its own best block; the other blocks of a chunk come in one
+order for all queries, by their greatest sum. The result is exact whatever is pruned.
 
 Blocks travel in chunks of ``CHUNK`` documents, queries in blocks of ``QUERIES``; both have a fixed
-size in bytes. Every chunk meets every query block once, in a join on (query block, lane) that deals
-these pairs out evenly; a task holds one chunk and one query block at a time. Each pair yields the k
-best of a query in a chunk, and a window that keeps k rows per task and query joins the chunks.
+size in bytes and are written once. Every chunk meets every query block once, in a product of the two
+written tables: ``LANES`` parts of the documents at most with ``PARTS`` parts of the queries at most.
+A task reads its part of both from the files, so no copy of either is shuffled, none is broadcast, and
+the number of tasks is bounded. A task streams its chunks past its query blocks and keeps the k best
+and the k-th score of each query from chunk to chunk; a window joins the tasks' k best. What is moved
+is k rows for each query and lane, so it grows with the number of queries.
 
 Edge cases. Vectors that are null or hold a null or non-finite component take no part, neither do rows
 with a null id. Vectors of different lengths meet as if the shorter had zeros at its end. Equal rows
@@ -37,6 +41,11 @@ K = 10
 BLOCK = 128
 CHUNK = 4096
 QUERIES = 4096
+#: Parts of the documents and of the query blocks that meet, at most.
+LANES = 64
+PARTS = 512
+#: Chunks in a file: a reader or writer may hold a file's rows at once.
+FILE = 16
 #: Components and scores are 64-bit integers.
 LIMIT = 2.0**63
 #: Larger than what rounding adds to a product, as a share of its terms.
@@ -60,21 +69,24 @@ def integer_rows(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     )
 
 
-def packed_rows(ids: np.ndarray, rows: list, **more) -> pd.DataFrame:
-    """One row that holds many vectors: their ids and integers as bytes."""
+def packed_rows(ids: np.ndarray, rows: list) -> pd.DataFrame:
+    """One row that holds many vectors: their ids and integers as bytes, as narrow as they fit."""
     width = max((len(r) for r in rows), default=0)
     matrix = np.zeros((len(rows), width), dtype="<i8")
     for i, r in enumerate(rows):
         matrix[i, : len(r)] = r
+    ends = (matrix.min(), matrix.max()) if matrix.size else (0, 0)
+    kind = next(t for t in ("<i2", "<i4", "<i8") if np.iinfo(t).min <= ends[0] and ends[1] <= np.iinfo(t).max)
     return pd.DataFrame([{
-        **more, "ids": np.asarray(ids, dtype="<i8").tobytes(), "width": width,
-        "matrix": matrix.tobytes(),
+        "ids": np.asarray(ids, dtype="<i8").tobytes(), "width": width,
+        "matrix": matrix.astype(kind).tobytes(),
     }])
 
 
 def unpacked(ids: bytes, width: int, matrix: bytes) -> tuple[np.ndarray, np.ndarray]:
     ids = np.frombuffer(ids, dtype="<i8")
-    return ids, np.frombuffer(matrix, dtype="<i8").reshape(len(ids), width)
+    kind = f"<i{len(matrix) // max(1, len(ids) * width) or 8}"
+    return ids, np.frombuffer(matrix, dtype=kind).reshape(len(ids), width).astype(np.int64)
 
 
 def dominant(terms: pd.Series) -> pd.Series:
@@ -90,7 +102,7 @@ def dominant(terms: pd.Series) -> pd.Series:
 
 
 def chunks(rows: DataFrame, size: int = CHUNK) -> DataFrame:
-    """lane_key, ids, width, matrix: ranges of documents in the order of their dominant terms."""
+    """ids, width, matrix: ranges of documents in the order of their dominant terms."""
 
     @F.pandas_udf("long")
     def order(terms: pd.Series) -> pd.Series:
@@ -103,20 +115,32 @@ def chunks(rows: DataFrame, size: int = CHUNK) -> DataFrame:
             ids += batch["vec_id"].tolist()
             held += batch["terms"].tolist()
             while len(ids) >= size:
-                yield packed_rows(ids[:size], held[:size], lane_key=ids[0])
+                yield packed_rows(ids[:size], held[:size])
                 ids, held = ids[size:], held[size:]
         if ids:
-            yield packed_rows(ids, held, lane_key=ids[0])
+            yield packed_rows(ids, held)
 
     return (
         rows.withColumn("place", order("terms"))
         .repartitionByRange("place", "vec_id")
         .sortWithinPartitions("place", "vec_id")
         .select("vec_id", "terms")
-        .mapInPandas(cut, "lane_key long, ids binary, width long, matrix binary")
+        .mapInPandas(cut, "ids binary, width long, matrix binary")
     )
 
 
+def exact_type(a: np.ndarray, b: np.ndarray) -> type | None:
+    """The narrower floating point type in which all products of the rows are exact, if there is one.
+
+    The terms of a product add up to no more than the product of the two lengths.
+    """
+    size = 1 + SLACK
+    for x in (a, b):
+        wide = x.astype(np.float64)
+        size *= np.sqrt(np.einsum("ij,ij->i", wide, wide).max(initial=0))
+    return np.float32 if size < 2.0**24 else np.float64 if size < 2.0**53 else None
+
+
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact integer products of the rows; in floating point where that is exact.
 
@@ -124,10 +148,10 @@ def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), dtype=np.int64)
+    if kind := exact_type(a, b):
+        return (a.astype(kind) @ b.astype(kind).T).astype(np.int64)
     wide_a, wide_b = a.astype(np.float64), b.astype(np.float64)
     most = np.abs(wide_a).max() * np.abs(wide_b).max() * a.shape[1]
-    if most < 2.0**53:
-        return (wide_a @ wide_b.T).astype(np.int64)
     if most >= LIMIT / 2 and (np.abs(wide_a) @ np.abs(wide_b).T).max() >= LIMIT * (1 - SLACK):
         raise OverflowError("a score does not fit 64 bits")
     return a @ b.T
@@ -146,6 +170,73 @@ def upper_bounds(queries: np.ndarray, most: np.ndarray, least: np.ndarray) -> np
     return out
 
 
+class Best:
+    """The k best documents of each query of a block among the chunks it has met."""
+
+    def __init__(self, query_ids: np.ndarray, queries: np.ndarray, k: int = K):
+        self.query_ids, self.queries = query_ids, queries
+        self.top = np.full((len(queries), k), np.iinfo(np.int64).min)
+        self.ids = np.full((len(queries), k), np.iinfo(np.int64).max)
+        self.held = np.zeros((len(queries), k), dtype=bool)
+
+    def meet(
+        self, ids: np.ndarray, docs: np.ndarray, block: int = BLOCK, seen: list | None = None
+    ) -> None:
+        """Take in a chunk. ``seen`` gets the number of (query, block) pairs that were scored."""
+        width = max(self.queries.shape[1], docs.shape[1])
+        queries = np.pad(self.queries, ((0, 0), (0, width - self.queries.shape[1])))
+        docs = np.pad(docs, ((0, 0), (0, width - docs.shape[1])))
+        kind = exact_type(queries, docs)
+        wide = [x.astype(kind) for x in (queries, docs)] if kind else []
+        starts = range(0, len(docs), block)
+        most = np.array([docs[a : a + block].max(axis=0) for a in starts])
+        least = np.array([docs[a : a + block].min(axis=0) for a in starts])
+        bounds = upper_bounds(queries, most, least)
+        todo = np.ones(bounds.shape, dtype=bool)
+
+        def score(b: int, who: np.ndarray) -> None:
+            part = slice(b * block, (b + 1) * block)
+            scores = wide[0][who] @ wide[1][part].T if kind else inner(queries[who], docs[part])
+            good = scores >= self.top[who, -1].astype(scores.dtype)[:, None]
+            row, at = np.divmod(np.flatnonzero(good), good.shape[1])
+            other = ids[part][at] != self.query_ids[who[row]]
+            row, at = row[other], at[other]
+            self.keep(who[row], ids[part][at], scores[row, at].astype(np.int64))
+            todo[who, b] = False
+            if seen is not None:
+                seen.append(len(who))
+
+        first = bounds.argmax(axis=1)
+        new = np.flatnonzero(~self.held[:, -1])
+        for b in np.unique(first[new]):
+            score(b, new[first[new] == b])
+        for b in np.argsort(-bounds.max(axis=0).astype(np.float64), kind="stable"):
+            who = np.flatnonzero(todo[:, b] & (~self.held[:, -1] | (bounds[:, b] >= self.top[:, -1])))
+            if len(who):
+                score(b, who)
+
+    def keep(self, rows: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """Merge documents found for the queries numbered ``rows`` into their k best."""
+        if not len(rows):
+            return
+        some, at = np.unique(rows, return_inverse=True)
+        held = self.held[some]
+        at = np.concatenate([np.nonzero(held)[0], at])
+        ids = np.concatenate([self.ids[some][held], ids])
+        scores = np.concatenate([self.top[some][held], scores])
+        order = np.lexsort((ids, -scores, at))
+        at = at[order]
+        rank = np.arange(len(at)) - np.searchsorted(at, at)
+        best = rank < self.held.shape[1]
+        place = some[at[best]], rank[best]
+        self.ids[place], self.top[place], self.held[place] = ids[order][best], scores[order][best], True
+
+    def found(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the query, id and score of its k best, in their order."""
+        who, place = np.nonzero(self.held)
+        return who, self.ids[who, place], self.top[who, place]
+
+
 def best_in_chunk(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, docs: np.ndarray, k: int = K,
     block: int = BLOCK, seen: list | None = None,
@@ -154,41 +245,9 @@ def best_in_chunk(
 
     ``seen`` gets the number of (query, block) pairs that were scored.
     """
-    width = max(queries.shape[1], docs.shape[1])
-    queries = np.pad(queries, ((0, 0), (0, width - queries.shape[1])))
-    docs = np.pad(docs, ((0, 0), (0, width - docs.shape[1])))
-    starts = range(0, len(docs), block)
-    most = np.array([docs[a : a + block].max(axis=0) for a in starts])
-    least = np.array([docs[a : a + block].min(axis=0) for a in starts])
-    bounds = upper_bounds(queries, most, least)
-    turns = np.argsort(-bounds, axis=1, kind="stable")
-    low = np.iinfo(np.int64).min
-    top = np.full((len(queries), k), low)
-    top_ids = np.full((len(queries), k), np.iinfo(np.int64).max)
-    held = np.zeros((len(queries), k), dtype=bool)
-    for turn in range(len(most)):
-        blocks = turns[:, turn]
-        bound = bounds[np.arange(len(queries)), blocks]
-        active = ~held[:, -1] | (bound >= top[:, -1])
-        if not active.any():
-            break
-        for b in np.unique(blocks[active]):
-            who = np.flatnonzero(active & (blocks == b))
-            part = slice(b * block, (b + 1) * block)
-            scores = inner(queries[who], docs[part])
-            names = np.broadcast_to(ids[part], scores.shape)
-            other = names != query_ids[who][:, None]
-            scores = np.concatenate([top[who], scores], axis=1)
-            names = np.concatenate([top_ids[who], names], axis=1)
-            other = np.concatenate([held[who], other], axis=1)
-            order = np.lexsort((names, -scores, ~other), axis=-1)[:, :k]
-            top[who] = np.take_along_axis(scores, order, 1)
-            top_ids[who] = np.take_along_axis(names, order, 1)
-            held[who] = np.take_along_axis(other, order, 1)
-            if seen is not None:
-                seen.append(len(who))
-    at = np.flatnonzero(held.ravel())
-    return at // k, top_ids.ravel()[at], top.ravel()[at]
+    best = Best(query_ids, queries, k)
+    best.meet(ids, docs, block, seen)
+    return best.found()
 
 
 def top_k(
@@ -197,44 +256,32 @@ def top_k(
     """query_id, rank, vec_id, score: the k best of every row whose id is divisible by ``every``."""
     rows = integer_rows(vectors)
     asked = rows.filter(F.col("vec_id") % every == 0).dropDuplicates(["vec_id", "terms"])
-    counts = rows.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col("vec_id") % every == 0).alias("asked")
-    ).first()
-    blocks, lanes = -(-counts["asked"] // queries), max(1, -(-counts["rows"] // chunk))
-
-    def gather(rows: pd.DataFrame) -> pd.DataFrame:
-        return packed_rows(
-            rows["vec_id"].to_numpy(), rows["terms"].tolist(), block=rows["block"].iloc[0]
-        )
-
-    by_query = asked.withColumn(
-        "block", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, blocks)))
-    ).groupBy("block").applyInPandas(gather, "block long, ids binary, width long, matrix binary")
-    every_lane = by_query.select(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"),
-        *[F.col(c).alias(f"query_{c}") for c in ("ids", "width", "matrix")],
-    )
-    every_block = staged(chunks(rows, chunk), "chunks")[0].select(
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(max(1, blocks) - 1).cast("long"))).alias("block"),
-        F.pmod(F.xxhash64("lane_key"), F.lit(lanes)).cast("int").alias("lane"),
-        "ids", "width", "matrix",
-    )
+    by_query = staged(
+        chunks(asked, queries).withColumn("block", F.monotonically_increasing_id()), "queries",
+        maxRecordsPerFile=FILE,
+    )[0].select("block", *[F.col(c).alias(f"query_{c}") for c in ("ids", "width", "matrix")])
+    by_doc = staged(chunks(rows, chunk), "chunks", maxRecordsPerFile=FILE)[0]
+    parts = min(PARTS, max(1, by_query.count()))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict[int, Best] = {}
         for batch in batches:
             for r in batch.itertuples(index=False):
-                query_ids, asked_rows = unpacked(r.query_ids, r.query_width, r.query_matrix)
-                ids, docs = unpacked(r.ids, r.width, r.matrix)
-                who, found, scores = best_in_chunk(query_ids, asked_rows, ids, docs, k)
-                yield pd.DataFrame({
-                    "query": r.block * (1 << 32) + who, "query_id": query_ids[who],
-                    "vec_id": found, "score": scores,
-                })
-
-    ranked = Window.partitionBy("query", "query_id").orderBy(F.desc("score"), "vec_id")
+                if r.block not in best:
+                    best[r.block] = Best(*unpacked(r.query_ids, r.query_width, r.query_matrix), k)
+                best[r.block].meet(*unpacked(r.ids, r.width, r.matrix))
+        for block, held in best.items():
+            who, found, scores = held.found()
+            yield pd.DataFrame({
+                "block": block, "query": who, "query_id": held.query_ids[who],
+                "vec_id": found, "score": scores,
+            })
+
+    ranked = Window.partitionBy("block", "query", "query_id").orderBy(F.desc("score"), "vec_id")
     return (
-        every_block.join(every_lane, ["block", "lane"])
-        .mapInPandas(score, "query long, query_id long, vec_id long, score long")
+        by_doc.coalesce(LANES)
+        .crossJoin(by_query.repartition(parts).hint("shuffle_replicate_nl"))
+        .mapInPandas(score, "block long, query long, query_id long, vec_id long, score long")
         .withColumn("rank", F.row_number().over(ranked))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
