@@ -31,6 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,8 +84,9 @@ def packed_rows(ids: np.ndarray, rows: list) -> pd.DataFrame:
     }])
 
 
-def unpacked(ids: bytes, width: int, matrix: bytes) -> tuple[np.ndarray, np.ndarray]:
-    ids = np.frombuffer(ids, dtype="<i8")
+def unpacked(ids: bytes | pa.Buffer, width: int, matrix: bytes | pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    """Copies, so that what they were read from can go; bytes or Arrow buffers."""
+    ids = np.frombuffer(ids, dtype="<i8").copy()
     kind = f"<i{len(matrix) // max(1, len(ids) * width) or 8}"
     return ids, np.frombuffer(matrix, dtype=kind).reshape(len(ids), width).astype(np.int64)
 
@@ -263,17 +265,22 @@ def top_k(
     by_doc = staged(chunks(rows, chunk), "chunks", maxRecordsPerFile=FILE)[0]
     parts = min(PARTS, max(1, by_query.count()))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, Best] = {}
-        for batch in batches:
-            for r in batch.itertuples(index=False):
-                if r.block not in best:
-                    best[r.block] = Best(*unpacked(r.query_ids, r.query_width, r.query_matrix), k)
-                best[r.block].meet(*unpacked(r.ids, r.width, r.matrix))
+        for batch in batches:  # some 64 MB at most, which pandas would copy
+
+            def vectors(i: int, kind: str = "") -> tuple[np.ndarray, np.ndarray]:
+                ids, width, matrix = (batch.column(f"{kind}{c}")[i] for c in ("ids", "width", "matrix"))
+                return unpacked(ids.as_buffer(), width.as_py(), matrix.as_buffer())
+
+            for i, block in enumerate(batch.column("block").to_pylist()):
+                if block not in best:
+                    best[block] = Best(*vectors(i, "query_"), k)
+                best[block].meet(*vectors(i))
         for block, held in best.items():
             who, found, scores = held.found()
-            yield pd.DataFrame({
-                "block": block, "query": who, "query_id": held.query_ids[who],
+            yield pa.RecordBatch.from_pydict({
+                "block": np.full(len(who), block), "query": who, "query_id": held.query_ids[who],
                 "vec_id": found, "score": scores,
             })
 
@@ -281,7 +288,7 @@ def top_k(
     return (
         by_doc.coalesce(LANES)
         .crossJoin(by_query.repartition(parts).hint("shuffle_replicate_nl"))
-        .mapInPandas(score, "block long, query long, query_id long, vec_id long, score long")
+        .mapInArrow(score, "block long, query long, query_id long, vec_id long, score long")
         .withColumn("rank", F.row_number().over(ranked))
         .filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
